@@ -1,9 +1,12 @@
 """Silver cleaning: bronze registrations -> cleaned, typed, classified rows.
 
-The steps are order-sensitive (each reads what the previous one wrote), so they
-are one composed function. Every step is a batch of built-in expressions in a
-single ``withColumns``; Catalyst collapses the projections, and the whole chain
-runs row-parallel inside one codegen stage with no shuffle.
+The steps are order-sensitive (each reads what the previous one wrote). They
+are split in two phases: Phase A computes only what deduplication needs (the
+key and the repaired, parsed dates); Phase B does the rest. The silver table
+runs Phase B after keep-latest, so the costly text rules run once per
+surviving registration, not once per duplicate, and on the shuffle's
+partitions. Every step is a batch of built-in expressions in one
+``withColumns``, compiled by whole-stage codegen; no UDFs.
 """
 
 from __future__ import annotations
@@ -42,58 +45,61 @@ class CleanOptions:
     extra: dict = field(default_factory=dict)
 
 
-def clean_registrations(df: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
-    """All row-local cleaning steps, in order. Output: ``SILVER_COLUMNS``."""
+def dedup_columns(df: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Phase A: only what keep-latest needs (key and repaired, parsed dates).
+
+    Office placeholder and trim, date truncation and trim, shift/swap repair,
+    office words in dates, then date parsing. Everything else waits for
+    :func:`finish_clean`, so it runs after deduplication on surviving rows.
+    """
     c = F.col
-    # 1. whitespace, business words, office placeholders
-    df = df.withColumns({
-        "makerName": T.collapse_whitespace(c("makerName")),
-        "modelDesc": T.collapse_whitespace(c("modelDesc")),
-    })
-    df = df.withColumns({
-        "makerName": T.strip_business_words(c("makerName")),
-        "OfficeCd": T.null_if_matches(c("OfficeCd"), R.OFFICE_PLACEHOLDER),
-    })
-    # 2. date text length, registration key, seat count
     if opts.truncate_date_like_only:
         trunc = {d: F.when(c(d).rlike(r"^\s*\d"), T.truncate_text(c(d))).otherwise(c(d)) for d in ("fromdate", "todate")}
     else:
         trunc = {d: T.truncate_text(c(d)) for d in ("fromdate", "todate")}
     df = df.withColumns({
-        **trunc,
-        "tempRegistrationNumber": T.normalize_reg_key(c("tempRegistrationNumber")),
-        "seatCapacity": T.floor_numeric_text(c("seatCapacity")),
+        "OfficeCd": T.trim_text(T.null_if_matches(c("OfficeCd"), R.OFFICE_PLACEHOLDER)),
+        "tempRegistrationNumber": T.trim_text(T.normalize_reg_key(c("tempRegistrationNumber"))),
+        **{d: T.trim_text(e) for d, e in trunc.items()},
     })
-    # 3. trim text columns, then maker junk
-    df = df.withColumns({name: T.trim_text(c(name)) for name in R.TRIMMED_COLUMNS})
-    df = df.withColumns({"makerName": T.clean_maker(c("makerName"))})
-    # 4. shifted / swapped columns, office back-fill, maker words in office
     df = repair.repair_columns(df)
-    if opts.backfill_last:
-        df = df.withColumns({"OfficeCd": T.null_if_matches(c("OfficeCd"), R.MAKER_IN_OFFICE)})
-        df = df.withColumns({"OfficeCd": repair.backfill_office(c("OfficeCd"), c("tempRegistrationNumber"))})
-    else:
-        df = df.withColumns({"OfficeCd": repair.backfill_office(c("OfficeCd"), c("tempRegistrationNumber"))})
-        df = df.withColumns({"OfficeCd": T.null_if_matches(c("OfficeCd"), R.MAKER_IN_OFFICE)})
-    # 5. office words in date text; model text, flags, tokens
     df = df.withColumns({
         "fromdate_preclean": T.null_where(F.lower(F.trim(c("fromdate"))).rlike(R.OFFICE_IN_DATE), c("fromdate")),
         "todate_preclean": T.null_where(F.lower(F.trim(c("todate"))).rlike(R.OFFICE_IN_DATE), c("todate")),
-        "_model_clean": T.model_clean(c("modelDesc")),
     })
+    return D.with_parsed_dates(df, {"fromdate_parsed": "fromdate_preclean", "todate_parsed": "todate_preclean"},
+                               opts.date_formats)
+
+
+def finish_clean(df: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Phase B: maker, model, seats, office codes, classes. Output: ``SILVER_COLUMNS``.
+
+    Every step is row-local and reads only raw columns or Phase A results, so
+    running it after deduplication gives the same rows as running it before.
+    """
+    c = F.col
+    maker = T.trim_text(T.strip_business_words(T.collapse_whitespace(c("makerName"))))
+    model = T.trim_text(T.collapse_whitespace(c("modelDesc")))
+    df = df.withColumns({
+        "makerName": T.clean_maker(maker),
+        "modelDesc": model,
+        "seatCapacity": T.floor_numeric_text(c("seatCapacity")),
+        **{name: T.trim_text(c(name)) for name in ("fuel", "colour", "vehicleClass", "category", "makeYear", "secondVehicle")},
+    })
+    backfill = repair.backfill_office(c("OfficeCd"), c("tempRegistrationNumber"))
+    if opts.backfill_last:
+        office = repair.backfill_office(T.null_if_matches(c("OfficeCd"), R.MAKER_IN_OFFICE), c("tempRegistrationNumber"))
+    else:
+        office = T.null_if_matches(backfill, R.MAKER_IN_OFFICE)
+    df = df.withColumns({"OfficeCd": office, "_model_clean": T.model_clean(c("modelDesc"))})
     df = df.withColumns({
         "isTrailer": T.keyword_flag(c("_model_clean"), R.TRAILER_WORDS),
         "isElectric": T.keyword_flag(c("_model_clean"), R.ELECTRIC_WORDS),
         "modelName_canonical": T.model_canonical(T.model_tokens(c("_model_clean"))),
     })
-    df = df.withColumns({
-        "variant": T.model_variant(c("_model_clean"), c("modelName_canonical"), c("isTrailer")),
-        "fromdate_parsed": D.parse_dates_fixed(c("fromdate_preclean"), opts.date_formats),
-        "todate_parsed": D.parse_dates_fixed(c("todate_preclean"), opts.date_formats),
-    })
-    # 6. effective date, fuel, make year, ownership, transport, office codes
     eff = D.effective_date(c("fromdate_parsed"), c("todate_parsed"))
     df = df.withColumns({
+        "variant": T.model_variant(c("_model_clean"), c("modelName_canonical"), c("isTrailer")),
         "REGISTRATION_YEAR": F.year(eff),
         "REGISTRATION_MONTH": F.month(eff),
         "REGISTRATION_DATE_ID": D.date_id(eff),
@@ -105,3 +111,8 @@ def clean_registrations(df: DataFrame, opts: CleanOptions = CleanOptions()) -> D
     })
     df = df.withColumns({"OfficeCd_STD": C.standardize_code(c("OfficeCd"))})
     return df.select(*SILVER_COLUMNS)
+
+
+def clean_registrations(df: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """All row-local cleaning steps, in order, on every row. Output: ``SILVER_COLUMNS``."""
+    return finish_clean(dedup_columns(df, opts), opts)

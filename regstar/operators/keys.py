@@ -7,8 +7,9 @@ task. The ``range`` method here gives the same keys with a distributed sort:
    sort within partitions;
 2. tag each row with its partition id and ``monotonically_increasing_id``,
    whose low 33 bits are the row's position inside its partition;
-3. checkpoint that frame to the shared checkpoint folder, so the positions
-   are fixed even if a task is retried or an executor is lost;
+3. write that frame once to the shared checkpoint folder and read it back,
+   so the positions are fixed even if a task is retried or an executor is
+   lost (an eager ``checkpoint`` would compute the input twice);
 4. count rows per partition (one row per partition), turn the counts into
    running offsets, and broadcast them: their size is bounded by the number of
    partitions, not by the data;
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regstar.session import ensure_checkpoint_dir
+from regstar.session import materialize
 
 _POSITION_BITS = 33
 
@@ -59,11 +60,10 @@ def dense_key(df: DataFrame, order: Sequence, name: str, prefix: str | None = No
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    tagged = (df.repartitionByRange(max(1, n), *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
-              .checkpoint(eager=True))
+    tagged = materialize(df.repartitionByRange(max(1, n), *order_cols)
+                         .sortWithinPartitions(*order_cols)
+                         .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}),
+                         "dense-key")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

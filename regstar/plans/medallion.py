@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from regstar.operators import dims as Dm
 from regstar.operators import fact as Fa
-from regstar.operators.clean import CleanOptions, clean_registrations
+from regstar.operators.clean import CleanOptions, clean_registrations, dedup_columns, finish_clean
 from regstar.operators.dedup import keep_latest_by
 from regstar.operators.harmonize import harmonize_columns
 from regstar.operators.quality import expect_or_drop
+from regstar.session import materialize
 
 REG_KEY = "tempRegistrationNumber"
 SILVER_EXPECTATIONS = {
@@ -37,6 +38,20 @@ def bronze(df: DataFrame) -> DataFrame:
     return harmonize_columns(df)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has cores.
+
+    The cleaning rules are CPU-bound and row-local; a tiny input read as one
+    partition would run them in one task. Large inputs already have many
+    partitions and are left alone (no extra shuffle at scale).
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def latest_order():
     """Newest registration date first, then the highest serial number."""
     return [F.coalesce(F.col("fromdate_parsed"), F.col("todate_parsed")), F.col("slno").try_cast("long")]
@@ -48,12 +63,27 @@ def silver(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(), dedup_meth
     The expectation only reads the partition key, so Catalyst pushes it below
     the deduplication; the result is the same as filtering afterwards.
     """
-    cleaned = clean_registrations(bronze_df, opts)
-    latest = keep_latest_by(cleaned, [REG_KEY], latest_order(), method=dedup_method)
+    keyed = dedup_columns(spread(bronze_df), opts)
+    latest = keep_latest_by(keyed, [REG_KEY], latest_order(), method=dedup_method)
+    return finish_clean(expect_or_drop(latest, SILVER_EXPECTATIONS), opts)
+
+
+def silver_eager(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(), dedup_method: str = "window") -> DataFrame:
+    """The same rows, cleaning every record before deduplication (the source's order)."""
+    latest = keep_latest_by(clean_registrations(bronze_df, opts), [REG_KEY], latest_order(), method=dedup_method)
     return expect_or_drop(latest, SILVER_EXPECTATIONS)
 
 
-def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOptions()) -> dict[str, DataFrame]:
+def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOptions(),
+         materialize_silver: bool = True) -> dict[str, DataFrame]:
+    """Dimensions and the fact from one silver table.
+
+    Silver is read four times (three dimensions and the fact), so it is first
+    written once to the shared checkpoint folder unless the caller already
+    passes a stored table.
+    """
+    if materialize_silver:
+        silver_df = materialize(silver_df, "silver")
     dim_vehicle = Dm.dim_vehicle(silver_df, opts.key_method, opts.null_as_unknown)
     dim_office = Dm.dim_office(silver_df, key_method=opts.key_method)
     dim_maker = Dm.dim_manufacturer(silver_df, opts.key_method)

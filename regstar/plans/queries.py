@@ -27,7 +27,7 @@ from regstar.operators.keys import dense_key
 from regstar.operators.quality import expect_or_drop, expectation_counts
 from regstar.plans import medallion as Md
 from regstar.plans import oracles as O
-from regstar.session import ensure_checkpoint_dir
+from regstar.session import ensure_checkpoint_dir, materialize
 from regstar.sources.csv_ingest import ingest_csv, write_csv_parts
 from regstar.sources.fixtures import dirty_registrations
 from regstar.sources.tables import read_table
@@ -63,6 +63,11 @@ def _silver(spark, sf):
     return Md.silver(_r(spark, sf))
 
 
+def _silver_table(spark, sf):
+    """Silver as the stored table the gold stage reads (written to the shared folder)."""
+    return materialize(_silver(spark, sf), "silver")
+
+
 c = F.col
 
 
@@ -338,28 +343,28 @@ FROM (SELECT CAST(d AS DATE) AS full_date FROM generate_series(DATE '2000-01-01'
 WHERE CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) IN (SELECT REGISTRATION_DATE_ID FROM silver)"""))
 def q_dim_date(spark, sf):
     """Calendar rows in use by the registrations (the calendar itself is fixed-size)."""
-    used = _silver(spark, sf).select(c("REGISTRATION_DATE_ID").alias("DATE_ID")).distinct()
+    used = _silver_table(spark, sf).select(c("REGISTRATION_DATE_ID").alias("DATE_ID")).distinct()
     return Dm.dim_date(spark).join(used, "DATE_ID", "left_semi")
 
 
 @register("dim_manufacturer", on_silver("SELECT * FROM dim_manufacturer", O.dims_ctes()))
 def q_dim_manufacturer(spark, sf):
-    return Dm.dim_manufacturer(_silver(spark, sf))
+    return Dm.dim_manufacturer(_silver_table(spark, sf))
 
 
 @register("vehicle_normalize", on_silver("SELECT * FROM vehicle_norm", O.dims_ctes()))
 def q_vehicle_normalize(spark, sf):
-    return Dm.vehicle_normalize(_silver(spark, sf))
+    return Dm.vehicle_normalize(_silver_table(spark, sf))
 
 
 @register("dim_vehicle", on_silver("SELECT * FROM dim_vehicle", O.dims_ctes()))
 def q_dim_vehicle(spark, sf):
-    return Dm.dim_vehicle(_silver(spark, sf))
+    return Dm.dim_vehicle(_silver_table(spark, sf))
 
 
 @register("dim_office", on_silver("SELECT * FROM dim_office", O.dims_ctes()))
 def q_dim_office(spark, sf):
-    return Dm.dim_office(_silver(spark, sf))
+    return Dm.dim_office(_silver_table(spark, sf))
 
 
 # --- matching and fact -------------------------------------------------------------------
@@ -368,13 +373,13 @@ _MATCH = O.dims_ctes() + "," + O.match_ctes("min")
 
 
 def _resolved(spark, sf, multi="min"):
-    s = _silver(spark, sf)
+    s = _silver_table(spark, sf)
     return M.resolve(s, Dm.dim_vehicle(s), exact_multi=multi)
 
 
 @register("match_keys", on_silver("SELECT tempRegistrationNumber, KEY, BLOCK FROM stg", _MATCH))
 def q_match_keys(spark, sf):
-    return M.match_keys(_silver(spark, sf).select("tempRegistrationNumber", "modelName_canonical", "variant"),
+    return M.match_keys(_silver_table(spark, sf).select("tempRegistrationNumber", "modelName_canonical", "variant"),
                         "modelName_canonical", "variant").select("tempRegistrationNumber", "KEY", "BLOCK")
 
 
@@ -389,7 +394,7 @@ JOIN (SELECT KEY2, BLOCK2, CAST(min(VEHICLE_KEY) AS INTEGER) AS VEHICLE_KEY FROM
   ON u.BLOCK = d.BLOCK2 AND abs(length(u.KEY) - length(d.KEY2)) <= {R.LEVENSHTEIN_BOUND}
 WHERE levenshtein(u.KEY, d.KEY2) <= {R.LEVENSHTEIN_BOUND}""", _MATCH))
 def q_match_candidates(spark, sf):
-    s = _silver(spark, sf)
+    s = _silver_table(spark, sf)
     keys = M.match_keys(s.select("modelName_canonical", "variant"), "modelName_canonical", "variant") \
         .select("KEY", "BLOCK").distinct()
     dk = M.dim_keys(Dm.dim_vehicle(s))
@@ -450,7 +455,7 @@ v_dim_date AS (SELECT DATE, CAST(row_number() OVER (ORDER BY DATE NULLS FIRST) A
 
 
 def _simple(spark, sf):
-    return Md.simple_star(_silver(spark, sf))
+    return Md.simple_star(_silver_table(spark, sf))
 
 
 @register("v_dim_office", on_silver("SELECT * FROM v_dim_office", _V_DIMS))

@@ -90,16 +90,17 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                           app="regstar-bench", extra={"spark.driver.memory": "16g"})
-    times = {}
-    # warm-up: JVM, code generation, parquet footer reads
-    run(QUERIES["classify_fuel"](spark, sf))
+    times, cold = {}, {}
+    # Each query runs twice; the second (warm) run is reported: the first one
+    # also pays JVM warm-up and code generation, which a long job amortises.
     for name in HEADLINE:
+        cold[name] = round(timed(lambda: QUERIES[name](spark, sf)), 3)
         times[name] = round(timed(lambda: QUERIES[name](spark, sf)), 3)
     comparisons = {k: round(v, 3) for k, v in variants(spark, sf).items()}
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times,
-        "variants": comparisons, "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
+        "cold": cold, "variants": comparisons, "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
         "cpus": cpus, "spark": spark.version, "python": platform.python_version(),
         "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
     }))

@@ -23,7 +23,8 @@ def shape_guard(fmt: str) -> str | None:
     """Regex of the text shapes ``fmt`` can parse, for all-numeric formats.
 
     One pattern letter: one or more digits; two: exactly two digits; a year of
-    three or more letters: that many digits or more, optionally signed.
+    three or more letters: that many digits or more. Every field may carry a
+    '+' sign (the guard only has to be a superset of what parses).
     Formats with text fields or quotes get no guard (None).
     """
     if "'" in fmt:
@@ -39,9 +40,9 @@ def shape_guard(fmt: str) -> str | None:
         elif letter in "yu" and len(tok) >= 3:
             out.append(rf"\+?\d{{{len(tok)},}}")
         elif len(tok) == 1:
-            out.append(r"\d+")
+            out.append(r"\+?\d+")
         else:
-            out.append(rf"\d{{{len(tok)}}}")
+            out.append(rf"\+?\d{{{len(tok)}}}")
     return "^" + "".join(out) + "$"
 
 

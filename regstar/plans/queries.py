@@ -27,11 +27,12 @@ from regstar.operators.keys import dense_key
 from regstar.operators.quality import expect_or_drop, expectation_counts
 from regstar.plans import medallion as Md
 from regstar.plans import oracles as O
-from regstar.session import ensure_checkpoint_dir, materialize
+from regstar.session import ensure_checkpoint_dir, materialize, scratch_path
 from regstar.sources.csv_ingest import ingest_csv, write_csv_parts
 from regstar.sources.fixtures import dirty_registrations
 from regstar.sources.tables import read_table
 from regstar.streaming.ingest import ingest_stream, read_bronze
+from regstar.streaming.refresh import read_silver, refresh_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -579,3 +580,14 @@ def q_ingest_stream(spark, sf):
     out, ckpt = f"{src}-bronze", f"{src}-checkpoint"
     ingest_stream(spark, src, out, ckpt)
     return read_bronze(spark, out).drop("batch_id")
+
+
+@register("silver_incremental", on_silver("SELECT * FROM silver"))
+def q_silver_incremental(spark, sf):
+    """Silver built by the streaming refresh, four micro-batches of bronze files; equals the batch build."""
+    r = _r(spark, sf)
+    src = scratch_path(spark, "bronze-files")
+    r.repartition(4).write.parquet(src)
+    state, silver, ckpt = (scratch_path(spark, n) for n in ("silver-state", "silver-table", "silver-ckpt"))
+    refresh_stream(spark, src, r.schema, state, silver, ckpt, buckets=16, max_files_per_trigger=1)
+    return read_silver(spark, silver)

@@ -220,10 +220,13 @@ clean AS (SELECT slno, modelDesc, makerName, {sql_office_name('OfficeCd')} AS Of
 clean2 AS (SELECT *, {sql_code_std('OfficeCd')} AS OfficeCd_STD FROM clean)"""
 
 
-def silver_ctes() -> str:
-    """r -> clean -> keep latest per registration -> expectation = ``silver``."""
-    return f"""{r_cte()},
-{clean_ctes('r')},
+def silver_ctes(prelude: str | None = None, source: str = "r") -> str:
+    """r -> clean -> keep latest per registration -> expectation = ``silver``.
+
+    ``prelude`` replaces the CTE list that defines ``source`` (default: view R).
+    """
+    return f"""{prelude or r_cte()},
+{clean_ctes(source)},
 latest AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY tempRegistrationNumber
         ORDER BY coalesce(fromdate_parsed, todate_parsed) DESC NULLS LAST, TRY_CAST(slno AS BIGINT) DESC NULLS LAST) AS _rn
         FROM clean2) WHERE _rn = 1),
@@ -301,3 +304,14 @@ SELECT s.tempRegistrationNumber AS TEMP_REGISTRATION_NUMBER,
 FROM silver s LEFT JOIN resolved r ON s.tempRegistrationNumber = r.tempRegistrationNumber
   LEFT JOIN dim_office o ON s.OfficeCd_STD = o.RTA_OFFICE_CODE
   LEFT JOIN dim_manufacturer m ON s.makerName = m.MANUFACTURER_NAME"""
+
+
+def ingest_select(src: str = "r") -> str:
+    """View R as it reads back from the CSV layouts: empty text is NULL; layout 2 has no colour."""
+    cols = []
+    for x in R.GOLDEN_COLUMNS:
+        if x == "colour":
+            cols.append("CASE WHEN CAST(slno AS BIGINT) % 3 = 2 OR colour = '' THEN NULL ELSE colour END AS colour")
+        else:
+            cols.append(f"CASE WHEN {x} = '' THEN NULL ELSE {x} END AS {x}")
+    return f"SELECT {', '.join(cols)} FROM {src}"

@@ -563,10 +563,7 @@ def _write_dirty_csv(spark, sf) -> str:
     return path
 
 
-_INGEST_SQL = f"""WITH {O.r_cte()} SELECT {', '.join(
-    f"CASE WHEN {x} = '' THEN NULL ELSE {x} END AS {x}" if x != 'colour' else
-    "CASE WHEN CAST(slno AS BIGINT) % 3 = 2 OR colour = '' THEN NULL ELSE colour END AS colour"
-    for x in R.GOLDEN_COLUMNS)} FROM r"""
+_INGEST_SQL = f"WITH {O.r_cte()} {O.ingest_select('r')}"
 
 
 @register("ingest_csv", _INGEST_SQL)
@@ -591,3 +588,11 @@ def q_silver_incremental(spark, sf):
     state, silver, ckpt = (scratch_path(spark, n) for n in ("silver-state", "silver-table", "silver-ckpt"))
     refresh_stream(spark, src, r.schema, state, silver, ckpt, buckets=16, max_files_per_trigger=1)
     return read_silver(spark, silver)
+
+
+@register("fact_full", f"WITH {O.silver_ctes(O.r_cte() + ', r2 AS (' + O.ingest_select('r') + ')', 'r2')}, "
+                       f"{O.dims_ctes()}, {O.match_ctes('min')} {O.fact_select()}")
+def q_fact_full(spark, sf):
+    """End to end: CSV files in three header layouts -> bronze -> silver -> dimensions -> fact."""
+    bronze = ingest_csv(spark, _write_dirty_csv(spark, sf))
+    return Md.gold(spark, Md.silver(bronze))["fact"]

@@ -27,7 +27,7 @@ def with_unknown(dim: DataFrame, unknown_row: dict) -> DataFrame:
 
 
 def dimension(df: DataFrame, natural: Sequence[str], key_col: str, prefix: str | None = None,
-              unknown_row: dict | None = None, attrs: Sequence[str] = (), key_method: str = "range",
+              unknown_row: dict | None = None, attrs: Sequence[str] = (), key_method: str = "auto",
               order: Sequence | None = None) -> DataFrame:
     """Distinct ``natural`` keys (+ fixed-choice ``attrs``), dense key, unknown member."""
     cols = list(natural) + list(attrs)
@@ -55,7 +55,7 @@ def dim_date(spark: SparkSession, start: str = R.DATE_DIM_START, end: str = R.DA
 
 # --- manufacturer -------------------------------------------------------------
 
-def dim_manufacturer(silver: DataFrame, key_method: str = "range") -> DataFrame:
+def dim_manufacturer(silver: DataFrame, key_method: str = "auto") -> DataFrame:
     names = (silver.select(F.col("makerName").alias("MANUFACTURER_NAME"))
              .filter(F.col("MANUFACTURER_NAME").isNotNull()
                      & (F.col("MANUFACTURER_NAME") != R.UNKNOWN_MANUFACTURER)))
@@ -94,7 +94,7 @@ UNKNOWN_VEHICLE = {"VEHICLE_KEY": -1, "MODEL_NAME": R.UNKNOWN, "VARIANT": R.UNKN
                    "FUEL": R.UNKNOWN, "COLOUR": R.UNKNOWN, "VEHICLE_CLASS": R.UNKNOWN}
 
 
-def dim_vehicle(silver: DataFrame, key_method: str = "range", null_as_unknown: bool = False) -> DataFrame:
+def dim_vehicle(silver: DataFrame, key_method: str = "auto", null_as_unknown: bool = False) -> DataFrame:
     """One row per (model, variant, fuel); colour and class from the smallest such row."""
     norm = vehicle_normalize(silver, null_as_unknown)
     valid = norm.filter(F.col("MODEL_NAME").isNotNull() & F.col("VARIANT").isNotNull()
@@ -112,7 +112,7 @@ def office_master(spark: SparkSession, rows: Sequence[tuple] = R.OFFICE_MASTER)
 UNKNOWN_OFFICE = {"RTA_ID": R.UNKNOWN, "RTA_OFFICE_CODE": R.UNKNOWN_OFFICE_CODE, "RTA_NAME": R.UNKNOWN_RTA_NAME}
 
 
-def dim_office(silver: DataFrame, master: DataFrame | None = None, key_method: str = "range") -> DataFrame:
+def dim_office(silver: DataFrame, master: DataFrame | None = None, key_method: str = "auto") -> DataFrame:
     """Office codes seen in the data that the master knows; keys R1.. by name.
 
     The master is a fixed reference table (70 rows), so broadcasting it is
@@ -134,13 +134,13 @@ def as_transport_silver(silver: DataFrame) -> DataFrame:
     return silver.withColumnRenamed("makerName", "MAKER_NAME_CLEAN")
 
 
-def v_dim_office(silver: DataFrame, junk: str = R.SIMPLE_JUNK, key_method: str = "range") -> DataFrame:
+def v_dim_office(silver: DataFrame, junk: str = R.SIMPLE_JUNK, key_method: str = "auto") -> DataFrame:
     names = silver.select(T.upper_trim(F.col("OfficeCd")).alias("RTA_NAME")).distinct()
     names = names.filter(~F.col("RTA_NAME").rlike(junk))
     return dense_key(names, ["RTA_NAME"], "RTA_ID", method=key_method)
 
 
-def v_dim_maker(silver: DataFrame, junk: str = R.SIMPLE_JUNK, key_method: str = "range") -> DataFrame:
+def v_dim_maker(silver: DataFrame, junk: str = R.SIMPLE_JUNK, key_method: str = "auto") -> DataFrame:
     names = silver.select(F.col("MAKER_NAME_CLEAN").alias("MANUFACTURER_NAME")).distinct()
     names = names.filter(~F.col("MANUFACTURER_NAME").rlike(junk))
     return dense_key(names, ["MANUFACTURER_NAME"], "MANUFACTURER_ID", method=key_method)
@@ -162,7 +162,7 @@ def v_dim_vehicle(silver: DataFrame) -> DataFrame:
     return distinct_on(rows, ["VEHICLE_NATURAL_KEY"]).withColumn("VEHICLE_KEY", c("VEHICLE_NATURAL_KEY"))
 
 
-def v_dim_date(silver: DataFrame, key_method: str = "range") -> DataFrame:
+def v_dim_date(silver: DataFrame, key_method: str = "auto") -> DataFrame:
     days = silver.select(F.col("fromdate_parsed").alias("DATE")).filter(F.col("DATE").isNotNull()).distinct()
     keyed = dense_key(days, ["DATE"], "DATE_KEY", method=key_method)
     return keyed.withColumns({"YEAR": F.year("DATE"), "MONTH": F.month("DATE")})

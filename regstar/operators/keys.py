@@ -26,6 +26,13 @@ from pyspark.sql import functions as F
 from regstar.session import materialize
 
 _POSITION_BITS = 33
+SINGLE_TASK_BYTES = 64 << 20
+# Plan nodes that never emit more rows than they read, so the optimizer's
+# size estimate of a plan made only of them is an upper bound.
+_NON_GROWING = {"Project", "Filter", "Aggregate", "Distinct", "Deduplicate", "Sort", "Repartition",
+                "RepartitionByExpression", "LogicalRelation", "LocalRelation", "LogicalRDD", "SubqueryAlias",
+                "View", "Window", "WindowGroupLimit", "GlobalLimit", "LocalLimit", "Union", "ResolvedHint",
+                "HiveTableRelation", "Range", "Sample", "LogicalQueryStage"}
 
 
 def _cols(order: Sequence) -> list[Column]:
@@ -38,17 +45,43 @@ def _finish(df: DataFrame, name: str, key: Column, prefix: str | None) -> DataFr
     return df.withColumn(name, key)
 
 
+def size_bound(df: DataFrame) -> int | None:
+    """Upper bound of ``df``'s size in bytes from the optimized plan, or None.
+
+    Only trusted when every plan node is one that cannot add rows (joins and
+    generators can), so the estimate is a bound, not a guess.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    names = set()
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        names.add(node.nodeName())
+        children = node.children()
+        for i in range(children.size()):
+            stack.append(children.apply(i))
+    if not names <= _NON_GROWING:
+        return None
+    size = plan.stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
+
+
 def dense_key(df: DataFrame, order: Sequence, name: str, prefix: str | None = None,
-              method: str = "range", num_partitions: int | None = None,
+              method: str = "auto", num_partitions: int | None = None,
               natural: Sequence[str] | None = None) -> DataFrame:
     """Add ``name`` = 1..n in ``order`` (ascending, NULLs first, like ``orderBy``).
 
-    method="range": distributed (see module doc); the default.
+    method="auto" (default): "plain" when the plan's size bound is at most
+    ``SINGLE_TASK_BYTES`` (one task sorting that much is cheap), else "range".
+    method="range": distributed (see module doc).
     method="plain": ``row_number()`` over a global window (one task; small data only).
     method="hash": stable 64-bit hash of ``natural`` (or the order columns);
     keys survive reloads when new names arrive, but are not dense.
     """
     order_cols = _cols(order)
+    if method == "auto":
+        bound = size_bound(df)
+        method = "plain" if bound is not None and bound <= SINGLE_TASK_BYTES else "range"
     if method == "plain":
         key = F.row_number().over(Window.orderBy(*order_cols))
         return _finish(df, name, key.cast("int"), prefix)

@@ -28,7 +28,7 @@ SILVER_EXPECTATIONS = {
 
 @dataclass(frozen=True)
 class GoldOptions:
-    key_method: str = "range"      # dense keys: "range" (distributed), "plain", "hash"
+    key_method: str = "auto"      # dense keys: "auto", "range" (distributed), "plain", "hash"
     exact_multi: str = "min"       # "min": one vehicle per registration; "all": fan-out
     null_as_unknown: bool = False  # NULL fuel/colour -> UNKNOWN in the vehicle dimension
 
@@ -96,7 +96,7 @@ def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOpti
     }
 
 
-def simple_star(silver_df: DataFrame, key_method: str = "range") -> dict[str, DataFrame]:
+def simple_star(silver_df: DataFrame, key_method: str = "auto") -> dict[str, DataFrame]:
     """The simpler star schema (no unknown members; unmatched keys stay NULL)."""
     s = Dm.as_transport_silver(silver_df)
     dims = {

@@ -29,7 +29,7 @@ def test_hot_key_keep_latest_is_reduced_map_side(spark):
 
 def test_dense_key_with_hot_prefix(spark):
     names = spark.createDataFrame([(f"AAAA{i:05d}",) for i in range(2000)] + [(f"B{i}",) for i in range(10)], "n string")
-    keyed = dense_key(names, ["n"], "k", num_partitions=8)
+    keyed = dense_key(names, ["n"], "k", method="range", num_partitions=8)
     ks = sorted(r.k for r in keyed.collect())
     assert ks == list(range(1, 2011))
     first = keyed.filter(F.col("k") == 1).first().n

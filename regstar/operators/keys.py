@@ -51,7 +51,10 @@ def size_bound(df: DataFrame) -> int | None:
     Only trusted when every plan node is one that cannot add rows (joins and
     generators can), so the estimate is a bound, not a guess.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except Exception:  # noqa: BLE001 - Spark Connect: no plan access, so no proven bound
+        return None
     names = set()
     stack = [plan]
     while stack:

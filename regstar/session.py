@@ -34,24 +34,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", None) or ""
+    return master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     Only a local-mode session without that setting gets its own folder, so
     tests can run; a cluster session without it is a configuration error,
     because a machine-local folder would not survive the loss of an executor.
+    Works on classic sessions (sets the SparkContext's folder too) and on
+    Spark Connect sessions (path only).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="regstar-ckpt-", dir=os.environ.get("REGSTAR_SCRATCH", "/tmp")))
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
+        configured = tempfile.mkdtemp(prefix="regstar-ckpt-", dir=os.environ.get("REGSTAR_SCRATCH", "/tmp"))
+    if sc is None:
+        return configured
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 

@@ -107,3 +107,9 @@ def dense_key(df: DataFrame, order: Sequence, name: str, prefix: str | None = No
     key = (F.col("_off") + position + 1).cast("int")
     keyed = tagged.join(F.broadcast(offsets), "_pid")
     return _finish(keyed, name, key, prefix).drop("_pid", "_mid", "_off")
+
+
+def surrogate_key(df: DataFrame, order_cols: Sequence, name: str, prefix: str | None = None,
+                  method: str = "auto") -> DataFrame:
+    """Dense 1..n surrogate key in ``order_cols`` order (see :func:`dense_key`)."""
+    return dense_key(df, order_cols, name, prefix=prefix, method=method)

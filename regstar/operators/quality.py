@@ -38,9 +38,9 @@ def expect(df: DataFrame, rules: Mapping[str, str | Column], action: str = "drop
         return observed, obs
     if action == "fail":
         failed = ", ".join(checks)
-        return observed.withColumn(
-            "_ok", F.when(all_ok, F.lit(True)).otherwise(F.raise_error(F.lit(f"expectation failed: {failed}")))
-        ).drop("_ok"), obs
+        # a filter condition is always evaluated (a dropped column would be pruned away)
+        check = F.when(all_ok, F.lit(True)).otherwise(F.raise_error(F.lit(f"expectation failed: {failed}")))
+        return observed.filter(check), obs
     raise ValueError(f"unknown action {action!r}")
 
 

@@ -17,7 +17,7 @@ from regstar.operators import fact as Fa
 from regstar.operators.clean import CleanOptions, clean_registrations, dedup_columns, finish_clean
 from regstar.operators.dedup import keep_latest_by
 from regstar.operators.harmonize import harmonize_columns
-from regstar.operators.quality import expect_or_drop
+from regstar.operators.quality import expect, expect_or_drop
 from regstar.session import materialize
 
 REG_KEY = "tempRegistrationNumber"
@@ -69,6 +69,19 @@ def silver(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(), dedup_meth
     return finish_clean(expect_or_drop(latest, SILVER_EXPECTATIONS), opts)
 
 
+def silver_with_metrics(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(),
+                        dedup_method: str = "window"):
+    """Silver plus an Observation of the expectation's pass/fail counts.
+
+    The counts are gathered while the silver table is written (no extra pass);
+    read ``obs.get`` after the write.
+    """
+    keyed = dedup_columns(spread(bronze_df), opts)
+    latest = keep_latest_by(keyed, [REG_KEY], latest_order(), method=dedup_method)
+    kept, obs = expect(latest, SILVER_EXPECTATIONS, "drop", name="silver_expectations")
+    return finish_clean(kept, opts), obs
+
+
 def silver_eager(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(), dedup_method: str = "window") -> DataFrame:
     """The same rows, cleaning every record before deduplication (the source's order)."""
     latest = keep_latest_by(clean_registrations(bronze_df, opts), [REG_KEY], latest_order(), method=dedup_method)

@@ -72,3 +72,22 @@ def test_expectations(spark):
     assert obs.get["failed_valid"] == 2
     counts = expectation_counts(df, rule).first()
     assert (counts["rows"], counts["passed_valid"], counts["failed_valid"]) == (4, 2, 2)
+
+
+def test_expect_fail_raises(spark):
+    import pytest
+    df = spark.createDataFrame([("TS09X1",), (None,)], "k string")
+    failing, _ = expect(df, {"valid": "k IS NOT NULL"}, "fail")
+    with pytest.raises(Exception, match="expectation failed"):
+        failing.collect()
+
+
+def test_silver_metrics_ride_along(spark):
+    from conftest import SF_SMALL
+    from regstar.plans import medallion as Md
+    from regstar.sources.fixtures import dirty_registrations
+    silver, obs = Md.silver_with_metrics(dirty_registrations(spark, SF_SMALL))
+    n = silver.count()
+    m = obs.get
+    assert n == m["rows"] - m["failed_valid_registration"] and m["failed_valid_registration"] > 0
+    assert n == Md.silver(dirty_registrations(spark, SF_SMALL)).count()

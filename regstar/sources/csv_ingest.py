@@ -87,11 +87,16 @@ def ingest_csv_paths(spark: SparkSession, paths: DataFrame, sep: str = ",",
                      golden: Sequence[str] = R.GOLDEN_COLUMNS) -> DataFrame | None:
     """Harmonised rows of all files in ``paths`` (a frame with a ``path`` column).
 
-    Only the (path, header) pairs reach the driver: Spark's file reader plans
-    from a path list on the driver anyway; the rows are read by executors.
+    Only (path, header) pairs reach the driver, one per file: Spark's file
+    reader plans from a driver-side path list anyway. They are grouped on the
+    driver rather than with ``collect_list``, which would merge every path of a
+    common layout in one task. The rows themselves are read by executors.
     """
-    pairs = file_headers(paths).groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    frames = [read_group(spark, row["paths"], row["header"], sep, aliases, golden) for row in pairs if row["header"]]
+    groups: dict[str, list[str]] = {}
+    for row in file_headers(paths).toLocalIterator():
+        if row["header"]:
+            groups.setdefault(row["header"], []).append(row["path"])
+    frames = [read_group(spark, files, header, sep, aliases, golden) for header, files in groups.items()]
     if not frames:
         return None
     out = frames[0]

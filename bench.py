@@ -29,7 +29,7 @@ from regstar.plans.queries import QUERIES  # noqa: E402
 from regstar.session import local_session  # noqa: E402
 from regstar.sources.fixtures import dirty_registrations  # noqa: E402
 
-HEADLINE = ["silver", "dim_vehicle", "dim_office", "dim_manufacturer", "match_tiers", "fact_star",
+HEADLINE = ["silver", "dim_vehicle", "dim_office", "dim_manufacturer", "match_tiers", "fact_star", "fact_full",
             "v_fact", "ingest_csv", "keep_latest_events", "surrogate_key_customers"]
 
 

@@ -18,10 +18,12 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 from urllib.parse import urlparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,10 @@ from pyspark.sql import types as T
 from regstar.domain import registrations as R
 from regstar.operators.harmonize import harmonize_columns
 
+# The header reader runs in Python workers, which need not have this package
+# on their path: ship this module's functions by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _HEADER_SCHEMA = "path string, header string"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 

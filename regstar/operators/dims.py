@@ -15,7 +15,7 @@ from regstar.domain import registrations as R
 from regstar.functions import text as T
 from regstar.operators.dedup import distinct_on
 from regstar.operators.keys import dense_key
-from regstar.sources.inline import literal_table
+from regstar.sources.inline import date_sequence, literal_table
 
 
 def with_unknown(dim: DataFrame, unknown_row: dict) -> DataFrame:
@@ -41,8 +41,7 @@ def dimension(df: DataFrame, natural: Sequence[str], key_col: str, prefix: str |
 def dim_date(spark: SparkSession, start: str = R.DATE_DIM_START, end: str = R.DATE_DIM_END,
              extra: Sequence[str] = (R.DEFAULT_DATE,)) -> DataFrame:
     """One row per day in [start, end] plus ``extra`` days; id yyyyMMdd, parts."""
-    days = spark.range(1).select(F.explode(F.sequence(
-        F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))).alias("full_date"))
+    days = date_sequence(spark, start, end, "full_date")
     if extra:
         days = days.unionByName(spark.createDataFrame([(d,) for d in extra], ["d"])
                                 .select(F.col("d").cast("date").alias("full_date")))

@@ -18,7 +18,6 @@ from regstar.functions import classify as C
 from regstar.functions import dates as D
 from regstar.functions import text as T
 from regstar.operators import dims as Dm
-from regstar.operators import fact as Fa
 from regstar.operators import repair as Rp
 from regstar.operators import resolve as M
 from regstar.operators.dedup import distinct_on, distinct_rows, keep_latest_by

@@ -72,3 +72,26 @@ def test_replayed_batch_is_idempotent(spark):
     merge_batch(r, state, silver, buckets=8)
     assert sorted(map(repr, read_silver(spark, silver).collect())) == once
     assert len(once) == Md.silver(r).count()
+
+
+def test_gzip_and_bom_headers(spark):
+    import gzip
+    uri = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gz-{uuid.uuid4().hex}"
+    path = urlparse(uri).path
+    os.makedirs(path)
+    with gzip.open(f"{path}/a.csv.gz", "wt", encoding="utf-8") as f:
+        f.write("regno,FuelType\nTS09X1,DIESEL\n")
+    with open(f"{path}/b.csv", "w", encoding="utf-8-sig") as f:
+        f.write("regno,fuel\nTS09X2,PETROL\n")
+    got = sorted((r.tempRegistrationNumber, r.fuel) for r in ingest_csv(spark, path, glob="*.csv*").collect())
+    assert got == [("TS09X1", "DIESEL"), ("TS09X2", "PETROL")]
+
+
+def test_write_table_round_trip(spark):
+    from regstar.session import scratch_path
+    from regstar.sources.sinks import write_table
+    df = dirty_registrations(spark, SF_SMALL).select("slno", "fuel")
+    path = scratch_path(spark, "sink")
+    write_table(df, path=path, partition_by=["fuel"])
+    back = spark.read.parquet(path).select("slno", "fuel")
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))

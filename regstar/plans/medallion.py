@@ -94,13 +94,15 @@ def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOpti
 
     Silver is read four times (three dimensions and the fact), so it is first
     written once to the shared checkpoint folder unless the caller already
-    passes a stored table.
+    passes a stored table; each dimension is stored once as well.
     """
     if materialize_silver:
         silver_df = materialize(silver_df, "silver")
-    dim_vehicle = Dm.dim_vehicle(silver_df, opts.key_method, opts.null_as_unknown)
-    dim_office = Dm.dim_office(silver_df, key_method=opts.key_method)
-    dim_maker = Dm.dim_manufacturer(silver_df, opts.key_method)
+    # Each dimension is stored once: the fact stage reads the vehicle dimension
+    # three times (exact tier, unresolved keys, candidates).
+    dim_vehicle = materialize(Dm.dim_vehicle(silver_df, opts.key_method, opts.null_as_unknown), "dim-vehicle")
+    dim_office = materialize(Dm.dim_office(silver_df, key_method=opts.key_method), "dim-office")
+    dim_maker = materialize(Dm.dim_manufacturer(silver_df, opts.key_method), "dim-manufacturer")
     return {
         "dim_date": Dm.dim_date(spark),
         "dim_manufacturer": dim_maker,

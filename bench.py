@@ -39,6 +39,11 @@ def run(df) -> float:
     return time.perf_counter() - t
 
 
+def settle(spark) -> None:
+    """Ask the JVM for a garbage collection between measurements (less GC noise in the timings)."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def timed(fn) -> float:
     t = time.perf_counter()
     df = fn()
@@ -99,7 +104,9 @@ def main():
     # Each query runs twice; the second (warm) run is reported: the first one
     # also pays JVM warm-up and code generation, which a long job amortises.
     for name in HEADLINE:
+        settle(spark)
         cold[name] = round(timed(lambda: QUERIES[name](spark, sf)), 3)
+        settle(spark)
         times[name] = round(timed(lambda: QUERIES[name](spark, sf)), 3)
     comparisons = {k: round(v, 3) if isinstance(v, float) else v for k, v in variants(spark, sf).items()}
     total = round(sum(times.values()), 3)

@@ -123,3 +123,41 @@ def simple_star(silver_df: DataFrame, key_method: str = "auto") -> dict[str, Dat
     }
     dims["fact"] = Fa.v_fact(s, dims["dim_vehicle"], dims["dim_rta"], dims["dim_manufacturer"], dims["dim_date"])
     return dims
+
+
+def build_tables(spark: SparkSession, source: str, target: str, opts: GoldOptions = GoldOptions(),
+                 clean: CleanOptions = CleanOptions()) -> dict:
+    """The whole job: CSV folder -> bronze, silver, dimensions and fact tables under ``target``.
+
+    Each table is written once and the next stage reads the stored copy.
+    Returns the expectation counts gathered while silver was written.
+    """
+    from regstar.sources.csv_ingest import ingest_csv
+
+    root = target.rstrip("/")
+    ingest_csv(spark, source).write.mode("overwrite").parquet(f"{root}/bronze_registrations")
+    bronze_df = spark.read.parquet(f"{root}/bronze_registrations")
+    silver_df, obs = silver_with_metrics(bronze_df, clean)
+    silver_df.write.mode("overwrite").parquet(f"{root}/silver_registrations")
+    metrics = obs.get
+    tables = gold(spark, spark.read.parquet(f"{root}/silver_registrations"), opts, materialize_silver=False)
+    names = {"dim_date": "dim_date", "dim_manufacturer": "dim_manufacturer", "dim_vehicle": "dim_vehicle",
+             "dim_office": "dim_office", "fact": "fact_registrations"}
+    for key, name in names.items():
+        tables[key].write.mode("overwrite").parquet(f"{root}/{name}")
+    return metrics
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m regstar.plans.medallion SOURCE_DIR TARGET_DIR``"""
+    import sys
+
+    args = sys.argv[1:] if argv is None else argv
+    if len(args) != 2:
+        raise SystemExit("usage: python -m regstar.plans.medallion SOURCE_DIR TARGET_DIR")
+    spark = SparkSession.builder.appName("regstar").getOrCreate()
+    print(build_tables(spark, args[0], args[1]))
+
+
+if __name__ == "__main__":
+    main()

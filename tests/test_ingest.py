@@ -96,3 +96,21 @@ def test_write_table_round_trip(spark):
     write_table(df, path=path, partition_by=["vehicleClass"])
     back = spark.read.parquet(path).select("slno", "vehicleClass")
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+def test_build_tables_job_equals_fact_full(spark):
+    from regstar.plans import medallion as Md
+    from regstar.plans.queries import _write_dirty_csv
+    from regstar.session import scratch_path
+    src = _write_dirty_csv(spark, SF_SMALL)
+    target = scratch_path(spark, "tables")
+    metrics = Md.build_tables(spark, src, target)
+    assert metrics["rows"] > 0 and metrics["failed_valid_registration"] > 0
+    fact = spark.read.parquet(f"{target}/fact_registrations")
+    expected = QUERIES["fact_full"](spark, SF_SMALL)
+    assert sorted(fact.columns) == sorted(expected.columns)
+    cols = sorted(expected.columns)
+    assert sorted(map(repr, fact.select(*cols).collect())) == sorted(map(repr, expected.select(*cols).collect()))
+    for name in ("bronze_registrations", "silver_registrations", "dim_date", "dim_manufacturer", "dim_vehicle",
+                 "dim_office"):
+        assert spark.read.parquet(f"{target}/{name}").count() > 0

@@ -148,15 +148,29 @@ def build_tables(spark: SparkSession, source: str, target: str, opts: GoldOption
     return metrics
 
 
+SOURCE_CONF = "regstar.source_path"
+TARGET_CONF = "regstar.target_path"
+
+
 def main(argv: list[str] | None = None) -> None:
-    """``python -m regstar.plans.medallion SOURCE_DIR TARGET_DIR``"""
+    """``python -m regstar.plans.medallion [SOURCE_DIR TARGET_DIR]``
+
+    Without arguments the folders come from the session settings
+    ``regstar.source_path`` and ``regstar.target_path`` (e.g. ``--conf`` on
+    spark-submit), read with ``spark.conf.get``.
+    """
     import sys
 
     args = sys.argv[1:] if argv is None else argv
-    if len(args) != 2:
-        raise SystemExit("usage: python -m regstar.plans.medallion SOURCE_DIR TARGET_DIR")
     spark = SparkSession.builder.appName("regstar").getOrCreate()
-    print(build_tables(spark, args[0], args[1]))
+    if len(args) == 2:
+        source, target = args
+    else:
+        source, target = spark.conf.get(SOURCE_CONF, None), spark.conf.get(TARGET_CONF, None)
+    if not source or not target:
+        raise SystemExit(f"usage: python -m regstar.plans.medallion SOURCE_DIR TARGET_DIR "
+                         f"(or set {SOURCE_CONF} and {TARGET_CONF})")
+    print(build_tables(spark, source, target))
 
 
 if __name__ == "__main__":

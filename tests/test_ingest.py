@@ -114,3 +114,18 @@ def test_build_tables_job_equals_fact_full(spark):
     for name in ("bronze_registrations", "silver_registrations", "dim_date", "dim_manufacturer", "dim_vehicle",
                  "dim_office"):
         assert spark.read.parquet(f"{target}/{name}").count() > 0
+
+
+def test_job_reads_folders_from_settings(spark):
+    from regstar.plans import medallion as Md
+    from regstar.plans.queries import _write_dirty_csv
+    from regstar.session import scratch_path
+    src, target = _write_dirty_csv(spark, SF_SMALL), scratch_path(spark, "job")
+    spark.conf.set(Md.SOURCE_CONF, src)
+    spark.conf.set(Md.TARGET_CONF, target)
+    try:
+        Md.main([])
+    finally:
+        spark.conf.unset(Md.SOURCE_CONF)
+        spark.conf.unset(Md.TARGET_CONF)
+    assert spark.read.parquet(f"{target}/fact_registrations").count() == QUERIES["fact_full"](spark, SF_SMALL).count()

@@ -129,3 +129,17 @@ def test_job_reads_folders_from_settings(spark):
         spark.conf.unset(Md.SOURCE_CONF)
         spark.conf.unset(Md.TARGET_CONF)
     assert spark.read.parquet(f"{target}/fact_registrations").count() == QUERIES["fact_full"](spark, SF_SMALL).count()
+
+
+def test_stream_ingest_in_many_micro_batches(spark):
+    from regstar.plans.queries import _write_dirty_csv
+    from regstar.streaming.ingest import ingest_stream, read_bronze
+    src = _write_dirty_csv(spark, SF_SMALL)
+    out, ckpt = f"{src}-out", f"{src}-ckpt"
+    ingest_stream(spark, src, out, ckpt, max_files_per_trigger=1)
+    bronze = read_bronze(spark, out)
+    assert bronze.select("batch_id").distinct().count() > 1
+    # a second availableNow run finds no new files and changes nothing
+    ingest_stream(spark, src, out, ckpt, max_files_per_trigger=1)
+    again = read_bronze(spark, out)
+    assert again.count() == bronze.count() == ingest_csv(spark, src).count()

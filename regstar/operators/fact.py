@@ -17,7 +17,8 @@ FACT_COLUMNS = [
 
 
 def star_fact(silver: DataFrame, dim_vehicle: DataFrame, dim_office: DataFrame, dim_maker: DataFrame,
-              exact_multi: str = "min", max_dist: int = R.LEVENSHTEIN_BOUND) -> DataFrame:
+              exact_multi: str = "min", max_dist: int = R.LEVENSHTEIN_BOUND,
+              hot_block: int | None = M.HOT_BLOCK) -> DataFrame:
     """Registrations with vehicle, office and maker keys; unknown defaults.
 
     * Vehicle keys are resolved per distinct match key and joined on that key
@@ -32,7 +33,7 @@ def star_fact(silver: DataFrame, dim_vehicle: DataFrame, dim_office: DataFrame,
     """
     recs = M.match_keys(silver, "modelName_canonical", "variant")
     keys = recs.select("KEY", "BLOCK").distinct()
-    resolution = M.resolve_keys(keys, M.dim_keys(dim_vehicle), max_dist, exact_multi)
+    resolution = M.resolve_keys(keys, M.dim_keys(dim_vehicle), max_dist, exact_multi, hot_block)
     office = dim_office.select("RTA_OFFICE_CODE", "RTA_ID", F.col("RTA_NAME").alias("_rta_name"))
     maker = dim_maker.select(F.col("MANUFACTURER_NAME").alias("_maker"), "MANUFACTURER_KEY")
     joined = (recs.join(resolution, "KEY", "left")

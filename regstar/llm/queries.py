@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from regstar.llm import decontaminate
+from regstar.llm import decontaminate, quality, secrets, sentencepieces, warc
 
 QUERIES = {
+    "op2_sentencepiece": sentencepieces.op2_sentencepiece,
+    "op3_secret_scans": secrets.op3_secret_scans,
+    "op5_warc": warc.op5_warc,
+    "op7_quality_classifier": quality.op7_quality_classifier,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
 }
 
 ORACLES = {
+    "op5_warc": warc.ORACLE_SQL,
     "op9_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }

@@ -57,6 +57,7 @@ class Vocabulary:
         if s.encode("a  b ", out_type=str) and "".join(s.encode("a  b ", out_type=str)) != f"{SPACE}a{SPACE}{SPACE}b{SPACE}":
             raise ValueError("the model changes spaces in its normaliser")
         self.bytes = [s.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.names = [str(i) for i in range(n)]
         self.unknown = s.unk_id()
         if any(i == self.unknown for i in self.bytes):
             raise ValueError("the model has no byte pieces")
@@ -66,14 +67,14 @@ class Vocabulary:
         for b, i in enumerate(self.bytes):
             self.raw[i] = bytes([b])
 
-        # Symbols are the pieces' ids and, from n on, characters that are in pieces without being one.
-        self.symbol = {p: i for p, i in self.ids.items() if len(p) == 1}
-        self.spelled = {}
-        for c in sorted({c for p in self.ids for c in p} - set(self.symbol)):
-            i = n + len(self.spelled)
-            self.symbol[c] = i
-            self.spelled[i] = tuple(self.bytes[b] for b in c.encode())
-        whole = {**self.symbol, **self.ids}
+        # Symbols are the pieces' ids and, from n on, characters that are no piece.
+        self.of_letter = np.full(0x110000, -1, dtype=np.int32)
+        self.spelled: dict[int, tuple[int, ...]] = {}
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.of_letter[ord(p)] = i
+        inner = sorted({c for p in self.ids for c in p})
+        whole = dict(zip(inner, self.symbol_of(np.array([ord(c) for c in inner], dtype=np.uint32)).tolist(), strict=True)) | self.ids
         order = {x: r for r, x in enumerate(sorted(set(self.scores.values()), reverse=True))}
         pairs = {(whole[p[:k]] << 20) | whole[p[k:]]: (order[self.scores[p]], i)
                  for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in whole and p[k:] in whole}
@@ -123,17 +124,16 @@ class Vocabulary:
 
     def encode_many(self, parts: list[str]) -> list[list[int]]:
         """``encode`` for many parts at once: in each round every part merges its best pair."""
+        sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        short = np.flatnonzero(sizes <= SHORT)
         out: list = [None] * len(parts)
-        short = [k for k, p in enumerate(parts) if len(p) <= SHORT and all(c in self.symbol for c in set(p))]
-        done = set(short)
-        for k, p in enumerate(parts):
-            if k not in done:
-                out[k] = self.encode(p)
-        if not short:
+        for k in np.flatnonzero(sizes > SHORT):
+            out[k] = self.encode(parts[k])
+        if not len(short):
             return out
-        symbol = self.symbol
-        sym = np.array([symbol[c] for k in short for c in parts[k]], dtype=np.int64)
-        owner = np.repeat(np.arange(len(short)), [len(parts[k]) for k in short])
+        letters = np.frombuffer("".join([parts[k] for k in short.tolist()]).encode("utf-32-le"), dtype=np.uint32)
+        sym = self.symbol_of(letters)
+        owner = np.repeat(np.arange(len(short)), sizes[short])
         ended_sym, ended_owner = [], []
         rank, merged = self.pairs_of(sym[:-1], sym[1:])
         rank = np.append(np.where(owner[:-1] == owner[1:], rank, NO_PAIR), NO_PAIR)
@@ -166,17 +166,26 @@ class Vocabulary:
         sym, owner = np.concatenate(ended_sym), np.concatenate(ended_owner)
         order = np.argsort(owner, kind="stable")
         sym, owner = sym[order], owner[order]
-        cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
-        for k, ids in zip(short, np.split(sym, cuts), strict=True):
-            out[k] = ids.tolist()
-        spelled = self.spelled
-        if spelled:
-            n = len(self.raw)
-            for k in short:
-                if max(out[k]) >= n:
-                    out[k] = [i for x in out[k] for i in (spelled[x] if x >= n else (x,))]
+        ends = np.searchsorted(owner, np.arange(len(short)), side="right").tolist()
+        n, ids, begin = len(self.raw), sym.tolist(), 0
+        foreign = bool(len(sym)) and int(sym.max()) >= n
+        for k, end in zip(short.tolist(), ends, strict=True):
+            got = ids[begin:end]
+            if foreign and max(got) >= n:
+                got = [i for x in got for i in (self.spelled[x] if x >= n else (x,))]
+            out[k], begin = got, end
         return out
 
+    def symbol_of(self, letters: np.ndarray) -> np.ndarray:
+        """Symbols of code points; a character that is met for the first time gets one of its own."""
+        got = self.of_letter[letters]
+        if (got < 0).any():
+            for c in np.unique(letters[got < 0]).tolist():
+                i = len(self.raw) + len(self.spelled)
+                self.of_letter[c], self.spelled[i] = i, tuple(self.bytes[b] for b in chr(c).encode())
+            got = self.of_letter[letters]
+        return got.astype(np.int64)
+
     def pairs_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of adjacent symbols; ``NO_PAIR`` where they don't merge."""
         key = (left << 20) | right
@@ -185,6 +194,12 @@ class Vocabulary:
         hit = self.pair_keys[i] == key
         return np.where(hit, self.pair_rank[i], NO_PAIR), self.pair_symbol[i]
 
+    def same_bytes(self, encoded: list[list[int]], parts: list[str]) -> bool:
+        """Whether each part's ids spell exactly its own bytes."""
+        raw = self.raw
+        spelled = [b"".join([raw[i] for i in ids]) for ids in encoded]
+        return spelled == [p.replace(SPACE, " ").encode() for p in parts]
+
     def decode(self, ids: list[int]) -> str:
         """Text of some ids; a first space, that of the dummy prefix, stays."""
         raw = self.raw
@@ -207,19 +222,24 @@ class Encoder:
 
     def learn(self, parts: list[str]) -> None:
         """Encodes and decodes parts here and by the library."""
-        lib = self.v.library
-        theirs = lib.encode([p[1:].replace(SPACE, " ") for p in parts], num_threads=1)  # it adds the dummy prefix itself
+        lib, v = self.v.library, self.v
+        bare = [p[1:].replace(SPACE, " ") for p in parts]  # the library adds the dummy prefix itself
+        theirs = lib.encode(bare, num_threads=1)
         texts = lib.decode(theirs, num_threads=1)
-        for p, ours, ids, text in zip(parts, self.v.encode_many(parts), theirs, texts, strict=True):
-            if p == SPACE:  # the library gives no ids for the empty text
-                ids, text = ours, ""
-            back = self.v.decode(ours)
-            if ours != ids or back[1:] != text:
-                self.differ.add(p)
-                back = " " + text
-            if back != p.replace(SPACE, " "):
-                self.odd[p] = back
-            self.known[p] = ",".join(map(str, ids))
+        ours = v.encode_many(parts)
+        if SPACE in parts:  # the library gives no ids for the empty text
+            theirs[parts.index(SPACE)] = v.encode(SPACE)
+        back = [v.decode(ids) for ids in ours] if not v.same_bytes(ours, parts) else [" " + t for t in bare]
+        if ours != theirs or [t[1:] for t in back] != texts:
+            for k, p in enumerate(parts):
+                if ours[k] != theirs[k] or back[k][1:] != texts[k]:
+                    self.differ.add(p)
+                    ours[k], back[k] = theirs[k], " " + texts[k]
+        names = v.names
+        for p, ids, text, t in zip(parts, ours, back, bare, strict=True):
+            self.known[p] = ",".join([names[i] for i in ids])
+            if text[1:] != t:
+                self.odd[p] = text
 
     def texts(self, texts: list[str]) -> Iterator[tuple[int, str, str, int]]:
         """(number of ids, ids joined by commas, decoded text, parts that differ) of each text."""

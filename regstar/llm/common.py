@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import os
+import tempfile
+import zipfile
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+import regstar
 from regstar.session import materialize
 
 #: A side is broadcast only if its stored copy has at most so many bytes and rows.
@@ -11,6 +16,30 @@ BROADCAST_BYTES = 8 << 20
 BROADCAST_ROWS = 500_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers, once per application.
+
+    Executors need not have it installed: Spark sends them the archive, and
+    those that start later fetch it too.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(regstar.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="regstar-"), "regstar.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again.
 

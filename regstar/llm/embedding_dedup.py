@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regstar.llm.common import stage
+from regstar.llm.common import ship, stage
 from regstar.llm.components import components
 from regstar.sources.tables import read_table
 
@@ -152,6 +152,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     their own: they link with each other and count in ``n_links``. Other columns
     are not looked at.
     """
+    ship(vectors.sparkSession)
     reach = math.sqrt(2 - 2 * threshold) / 2 if reach is None else reach
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     sound = (F.col("id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0)

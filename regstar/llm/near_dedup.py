@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.llm import wordhash as wh
-from regstar.llm.common import stage, text_of
+from regstar.llm.common import ship, stage, text_of
 from regstar.llm.components import components
 from regstar.sources.tables import read_table
 
@@ -260,6 +260,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     other; texts of fewer than five words are one shingle. Other columns are not
     looked at.
     """
+    ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), text_of(text_col).alias("t"))
     idf = inverse_frequencies(base)
     known = base.filter(F.col("doc").isNotNull())

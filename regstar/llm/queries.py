@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from regstar.llm import decontaminate, embedding_dedup, near_dedup, quality, secrets, sentencepieces, substring_dedup, warc
+from regstar.llm import decontaminate, embedding_dedup, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
     "op2_sentencepiece": sentencepieces.op2_sentencepiece,
     "op3_secret_scans": secrets.op3_secret_scans,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_warc": warc.op5_warc,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_quality_classifier": quality.op7_quality_classifier,
+    "op8_pii": pii.op8_pii,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_minhash_near_dedup": near_dedup.op10_minhash_near_dedup,
 }

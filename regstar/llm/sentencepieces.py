@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from regstar.llm.common import text_of
+from regstar.llm.common import ship, text_of
 from regstar.sources.tables import read_table
 
 MODEL = "piece_bpe_32k.model"
@@ -277,6 +277,7 @@ def encode_texts(docs: DataFrame, model: str | None = None, text_col: str = "tex
     and have no ids. Repeated rows get equal results; extra columns of any name
     are carried in ``row``. ``model`` is a file that each executor can read.
     """
+    ship(docs.sparkSession)
     if model is None:
         import public_tokenizers
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.llm import wordhash as wh
-from regstar.llm.common import text_of
+from regstar.llm.common import ship, text_of
 from regstar.sources.tables import read_table
 
 WINDOW = 50
@@ -204,6 +204,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     other, and repeated rows get equal results. Extra columns of any name are
     carried in ``row``.
     """
+    ship(docs.sparkSession)
     base = docs.select(F.struct("*").alias("row"), text_of(text_col).alias("t"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"))
     base = base.select("row", "t", "doc", F.xxhash64("t").alias("ta"), F.xxhash64(F.lit(1), F.col("t")).alias("tb"))

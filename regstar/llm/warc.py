@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from regstar.llm.common import stage, text_of
+from regstar.llm.common import ship, small_side, stage, text_of
 from regstar.session import scratch_path
 from regstar.sources.tables import read_table
 
@@ -47,15 +47,15 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """One row per page: the text of its WARC record without the last CRLF.
 
     Of the pages with one payload the smallest id is the response. Only digests
-    that occur more than once are joined back; that join may be split by AQE
-    when one payload is very common.
+    that occur more than once are joined back: by broadcast if they are few,
+    else by a shuffle that AQE may split when one payload is very common.
     """
     p = pages.select(F.col("page_id"), F.col("url"), text_of("html").alias("payload")).withColumns(
         {"payload_digest": sha1_base32(F.encode("payload", "UTF-8")), "payload_bytes": F.octet_length("payload").cast("long")})
     firsts = (p.filter(F.col("payload_bytes") >= revisit_bytes).groupBy("payload_digest")
               .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
               .filter((F.col("n") > 1) & F.col("first_id").isNotNull()).drop("n"))
-    p = p.join(firsts, "payload_digest", "left").withColumn(
+    p = p.join(small_side(stage(firsts, "repeated-payloads")), "payload_digest", "left").withColumn(
         "revisit", F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")))
     head = F.concat_ws(
         "\r\n", F.lit("WARC/1.1"),
@@ -170,6 +170,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     stream cannot be split, so a task inflates whole archives, but it holds one
     record at a time. A broken archive raises.
     """
+    ship(spark)
     lines = spark.read.option("lineSep", "\r\n").text(source).select(
         F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary").alias("line"))
     members = stage(lines.mapInArrow(_members, MEMBERS), "members")
@@ -201,6 +202,7 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of normalised archives, with the digest and length of the blocks read."""
+    ship(spark)
     members = (spark.read.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
                .text(path).select(F.col("value").cast("binary").alias("member")))
     found = members.mapInArrow(_read_members, "warc_type string, record_id string, target_uri string, refers_to string,"

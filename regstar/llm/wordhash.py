@@ -114,6 +114,14 @@ def words_of(text: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray =
     return Words(data, start, ends, np.searchsorted(start, offsets), hashes)
 
 
+def beginnings(w: Words, most: int, fold: np.ndarray = AS_IS, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """(word, hash of its first ``most`` bytes) of the words that are longer."""
+    at = np.flatnonzero(w.end - w.start > most)
+    start, step = w.start[at], 1 << 20
+    parts = [_hash_slice(w.data, start[k:k + step], start[k:k + step] + most, fold, seed) for k in range(0, len(at), step)]
+    return at, np.concatenate([np.zeros(0, dtype=np.uint64), *parts])
+
+
 def runs(h: np.ndarray, n: int, seed: int = 11) -> np.ndarray:
     """Hash of each n consecutive entries; the caller drops those that leave a text."""
     if len(h) < n:

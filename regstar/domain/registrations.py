@@ -94,8 +94,6 @@ DATE_SEPARATORS = r"[-.\\]"
 # also holds "yyyy-MM-dd", which can never match after '-' becomes '/'.
 DATE_FORMATS = ["dd/MM/yyyy", "d/M/yyyy", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy",
                 "yyyyMMdd", "dd/MM/yy", "MM/dd/yy"]
-DATE_FORMATS_WITH_DEAD = ["dd/MM/yyyy", "d/M/yyyy", "yyyy/MM/dd", "MM/dd/yyyy", "M/d/yyyy",
-                          "yyyy-MM-dd", "yyyyMMdd", "dd/MM/yy", "MM/dd/yy"]
 
 # Fuel classes: (pattern, class), first match wins; then the NULL-fuel trailer
 # rule gives DIESEL; anything else is UNKNOWN.

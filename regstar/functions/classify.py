@@ -42,6 +42,7 @@ def map_office_name(c: Column, rules: Sequence[tuple] = R.OFFICE_NAME_RULES) ->
 
 
 def standardize_code(c: Column, rules: Sequence[tuple] = R.OFFICE_CODE_RULES,
-                     default: tuple = R.OFFICE_CODE_DEFAULT) -> Column:
-    """Old and zero-padded office codes -> current codes."""
-    return classify(F.upper(F.trim(c)), rules, default)
+                     default: tuple = R.OFFICE_CODE_DEFAULT, fix_prefix: bool = False) -> Column:
+    """Old and zero-padded office codes -> current codes; ``fix_prefix`` also turns a remaining TG into TS."""
+    code = classify(F.upper(F.trim(c)), rules, default)
+    return F.regexp_replace(code, "^TG", "TS") if fix_prefix else code

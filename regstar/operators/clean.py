@@ -11,7 +11,7 @@ partitions. Every step is a batch of built-in expressions in one
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,10 @@ class CleanOptions:
     truncate_date_like_only: bool = False
     # Back-fill the office after rejecting maker words (False = before, as the source does).
     backfill_last: bool = False
-    extra: dict = field(default_factory=dict)
+    # "TG014" becomes "TS14" (False = "TG14", as the source's rules leave it).
+    fix_code_prefix: bool = False
+    # Two-digit make years above it are of the last century (None = all of this one, as the source does).
+    year_pivot: int | None = None
 
 
 def dedup_columns(df: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
@@ -104,12 +107,12 @@ def finish_clean(df: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
         "REGISTRATION_MONTH": F.month(eff),
         "REGISTRATION_DATE_ID": D.date_id(eff),
         "fuel_clean": C.classify_fuel(c("fuel"), c("modelDesc")),
-        "makeYear": T.infer_make_year(c("makeYear"), c("modelDesc")),
+        "makeYear": T.infer_make_year(c("makeYear"), c("modelDesc"), pivot=opts.year_pivot),
         "OWNERSHIP_TYPE": C.classify_ownership(c("secondVehicle")),
         "TRANSPORT_TYPE": C.classify_transport(c("category"), c("vehicleClass")),
         "OfficeCd": C.map_office_name(c("OfficeCd")),
     })
-    df = df.withColumns({"OfficeCd_STD": C.standardize_code(c("OfficeCd"))})
+    df = df.withColumns({"OfficeCd_STD": C.standardize_code(c("OfficeCd"), fix_prefix=opts.fix_code_prefix)})
     return df.select(*SILVER_COLUMNS)
 
 

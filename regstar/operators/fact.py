@@ -16,6 +16,17 @@ FACT_COLUMNS = [
 ]
 
 
+def spread_key(key, row_id, *nothing):
+    """``key`` as text, with a value of the row's own where it is NULL or one of ``nothing``.
+
+    Such rows match nothing; without it a left join would send all of them to
+    one task. No key begins with the character NUL.
+    """
+    key = key.cast("string")
+    none = key.isNull() | key.isin(*nothing) if nothing else key.isNull()
+    return F.when(none, F.concat(F.lit("\0"), F.coalesce(row_id, F.lit("")))).otherwise(key)
+
+
 def star_fact(silver: DataFrame, dim_vehicle: DataFrame, dim_office: DataFrame, dim_maker: DataFrame,
               exact_multi: str = "min", max_dist: int = R.LEVENSHTEIN_BOUND,
               hot_block: int | None = M.HOT_BLOCK) -> DataFrame:
@@ -38,7 +49,7 @@ def star_fact(silver: DataFrame, dim_vehicle: DataFrame, dim_office: DataFrame,
     maker = dim_maker.select(F.col("MANUFACTURER_NAME").alias("_maker"), "MANUFACTURER_KEY")
     joined = (recs.join(resolution, "KEY", "left")
               .join(F.broadcast(office), F.col("OfficeCd_STD") == F.col("RTA_OFFICE_CODE"), "left")
-              .join(maker, F.col("makerName") == F.col("_maker"), "left"))
+              .join(maker, spread_key(F.col("makerName"), F.col("tempRegistrationNumber"), R.UNKNOWN_MANUFACTURER) == F.col("_maker"), "left"))
     c = F.col
     return joined.select(
         c("tempRegistrationNumber").alias("TEMP_REGISTRATION_NUMBER"),
@@ -63,10 +74,11 @@ def v_fact(silver: DataFrame, dim_vehicle: DataFrame, dim_office: DataFrame, dim
     fact = (s.join(dim_vehicle.select(c("VEHICLE_NATURAL_KEY"), "VEHICLE_KEY"),
                    c("_vkey") == c("VEHICLE_NATURAL_KEY"), "left")
             .join(dim_office.select(c("RTA_NAME").alias("_rta"), "RTA_ID"),
-                  F.upper(F.trim(c("OfficeCd"))) == c("_rta"), "left")
+                  spread_key(F.upper(F.trim(c("OfficeCd"))), c("tempRegistrationNumber")) == c("_rta"), "left")
             .join(dim_maker.select(c("MANUFACTURER_NAME").alias("_maker"), "MANUFACTURER_ID"),
-                  c("MAKER_NAME_CLEAN") == c("_maker"), "left")
-            .join(dim_date.select(c("DATE").alias("_date"), "DATE_KEY"), c("fromdate_parsed") == c("_date"), "left"))
+                  spread_key(c("MAKER_NAME_CLEAN"), c("tempRegistrationNumber")) == c("_maker"), "left")
+            .join(dim_date.select(c("DATE").cast("string").alias("_date"), "DATE_KEY"),
+                  spread_key(c("fromdate_parsed"), c("tempRegistrationNumber")) == c("_date"), "left"))
     return fact.select(
         c("tempRegistrationNumber").alias("TEMP_REGISTRATION_NUMBER"),
         c("VEHICLE_KEY"), c("RTA_ID"), c("MANUFACTURER_ID").alias("MANUFACTURER_KEY"), c("DATE_KEY"),

@@ -26,68 +26,37 @@ from pyspark.sql import functions as F
 from regstar.session import materialize
 
 _POSITION_BITS = 33
-SINGLE_TASK_BYTES = 64 << 20
-# Plan nodes that never emit more rows than they read, so the optimizer's
-# size estimate of a plan made only of them is an upper bound.
-_NON_GROWING = {"Project", "Filter", "Aggregate", "Distinct", "Deduplicate", "Sort", "Repartition",
-                "RepartitionByExpression", "LogicalRelation", "LocalRelation", "LogicalRDD", "SubqueryAlias",
-                "View", "Window", "WindowGroupLimit", "GlobalLimit", "LocalLimit", "Union", "ResolvedHint",
-                "HiveTableRelation", "Range", "Sample", "LogicalQueryStage"}
+MOST_INT = (1 << 31) - 1
 
 
 def _cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _finish(df: DataFrame, name: str, key: Column, prefix: str | None) -> DataFrame:
+def _finish(df: DataFrame, name: str, key: Column, prefix: str | None, as_int: bool = False) -> DataFrame:
+    if as_int:  # the tables' schema asks for it; beyond its range the query fails rather than wraps
+        key = F.when(key <= MOST_INT, key).otherwise(F.raise_error(F.lit(f"{name}: more keys than an int holds"))).cast("int")
     if prefix is not None:
         key = F.concat(F.lit(prefix), key.cast("string"))
     return df.withColumn(name, key)
 
 
-def size_bound(df: DataFrame) -> int | None:
-    """Upper bound of ``df``'s size in bytes from the optimized plan, or None.
-
-    Only trusted when every plan node is one that cannot add rows (joins and
-    generators can), so the estimate is a bound, not a guess.
-    """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-    except Exception:  # noqa: BLE001 - Spark Connect: no plan access, so no proven bound
-        return None
-    names = set()
-    stack = [plan]
-    while stack:
-        node = stack.pop()
-        names.add(node.nodeName())
-        children = node.children()
-        for i in range(children.size()):
-            stack.append(children.apply(i))
-    if not names <= _NON_GROWING:
-        return None
-    size = plan.stats().sizeInBytes()
-    return int(size) if isinstance(size, int) else int(size.toString())
-
-
 def dense_key(df: DataFrame, order: Sequence, name: str, prefix: str | None = None,
-              method: str = "auto", num_partitions: int | None = None,
-              natural: Sequence[str] | None = None) -> DataFrame:
+              method: str = "range", num_partitions: int | None = None,
+              natural: Sequence[str] | None = None, as_int: bool = True) -> DataFrame:
     """Add ``name`` = 1..n in ``order`` (ascending, NULLs first, like ``orderBy``).
 
-    method="auto" (default): "plain" when the plan's size bound is at most
-    ``SINGLE_TASK_BYTES`` (one task sorting that much is cheap), else "range".
-    method="range": distributed (see module doc).
-    method="plain": ``row_number()`` over a global window (one task; small data only).
+    method="range" (default): distributed (see module doc).
+    method="plain": ``row_number()`` over a global window: every row in one task.
     method="hash": stable 64-bit hash of ``natural`` (or the order columns);
-    keys survive reloads when new names arrive, but are not dense.
+    keys survive reloads when new names arrive, but are not dense, and two
+    names can share one (about n^2 / 2^65 of n names); it is always a long.
+    ``as_int=False`` leaves dense keys long.
     """
     order_cols = _cols(order)
-    if method == "auto":
-        bound = size_bound(df)
-        method = "plain" if bound is not None and bound <= SINGLE_TASK_BYTES else "range"
     if method == "plain":
         key = F.row_number().over(Window.orderBy(*order_cols))
-        return _finish(df, name, key.cast("int"), prefix)
+        return _finish(df, name, key, prefix, as_int)
     if method == "hash":
         cols = _cols(natural) if natural else order_cols
         return _finish(df, name, F.xxhash64(*cols), prefix)
@@ -104,12 +73,7 @@ def dense_key(df: DataFrame, order: Sequence, name: str, prefix: str | None = No
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _POSITION_BITS)
-    key = (F.col("_off") + position + 1).cast("int")
+    key = F.col("_off") + position + 1
     keyed = tagged.join(F.broadcast(offsets), "_pid")
-    return _finish(keyed, name, key, prefix).drop("_pid", "_mid", "_off")
-
+    return _finish(keyed, name, key, prefix, as_int).drop("_pid", "_mid", "_off")
 
-def surrogate_key(df: DataFrame, order_cols: Sequence, name: str, prefix: str | None = None,
-                  method: str = "auto") -> DataFrame:
-    """Dense 1..n surrogate key in ``order_cols`` order (see :func:`dense_key`)."""
-    return dense_key(df, order_cols, name, prefix=prefix, method=method)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regstar.domain import registrations as R
 from regstar.operators import dims as Dm
 from regstar.operators import fact as Fa
 from regstar.operators.clean import CleanOptions, clean_registrations, dedup_columns, finish_clean
@@ -19,6 +20,7 @@ from regstar.operators.dedup import keep_latest_by
 from regstar.operators.harmonize import harmonize_columns
 from regstar.operators.quality import expect, expect_or_drop
 from regstar.session import materialize
+from regstar.sources.sinks import write_table
 
 REG_KEY = "tempRegistrationNumber"
 SILVER_EXPECTATIONS = {
@@ -28,7 +30,7 @@ SILVER_EXPECTATIONS = {
 
 @dataclass(frozen=True)
 class GoldOptions:
-    key_method: str = "auto"      # dense keys: "auto", "range" (distributed), "plain", "hash"
+    key_method: str = "range"     # dense keys: "range" (distributed), "plain" (one task), "hash"
     exact_multi: str = "min"       # "min": one vehicle per registration; "all": fan-out
     null_as_unknown: bool = False  # NULL fuel/colour -> UNKNOWN in the vehicle dimension
 
@@ -38,24 +40,14 @@ def bronze(df: DataFrame) -> DataFrame:
     return harmonize_columns(df)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that has fewer partitions than the cluster has cores.
+def latest_order():
+    """Newest registration date first, then the highest serial number, then the whole row.
 
-    The cleaning rules are CPU-bound and row-local; a tiny input read as one
-    partition would run them in one task. Large inputs already have many
-    partitions and are left alone (no extra shuffle at scale).
+    Serial numbers restart in every source file, so the remaining columns
+    decide ties: any partitioning, batch or stream picks the same row.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: no partition count; leave the input as it is
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
-def latest_order():
-    """Newest registration date first, then the highest serial number."""
-    return [F.coalesce(F.col("fromdate_parsed"), F.col("todate_parsed")), F.col("slno").try_cast("long")]
+    rest = ["slno", *(c for c in R.GOLDEN_COLUMNS if c not in (REG_KEY, "slno"))]
+    return [F.coalesce(F.col("fromdate_parsed"), F.col("todate_parsed")), F.col("slno").try_cast("long"), *map(F.col, rest)]
 
 
 def silver(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(), dedup_method: str = "window") -> DataFrame:
@@ -64,7 +56,7 @@ def silver(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(), dedup_meth
     The expectation only reads the partition key, so Catalyst pushes it below
     the deduplication; the result is the same as filtering afterwards.
     """
-    keyed = dedup_columns(spread(bronze_df), opts)
+    keyed = dedup_columns(bronze_df, opts)
     latest = keep_latest_by(keyed, [REG_KEY], latest_order(), method=dedup_method)
     return finish_clean(expect_or_drop(latest, SILVER_EXPECTATIONS), opts)
 
@@ -76,7 +68,7 @@ def silver_with_metrics(bronze_df: DataFrame, opts: CleanOptions = CleanOptions(
     The counts are gathered while the silver table is written (no extra pass);
     read ``obs.get`` after the write.
     """
-    keyed = dedup_columns(spread(bronze_df), opts)
+    keyed = dedup_columns(bronze_df, opts)
     latest = keep_latest_by(keyed, [REG_KEY], latest_order(), method=dedup_method)
     kept, obs = expect(latest, SILVER_EXPECTATIONS, "drop", name="silver_expectations")
     return finish_clean(kept, opts), obs
@@ -112,7 +104,7 @@ def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOpti
     }
 
 
-def simple_star(silver_df: DataFrame, key_method: str = "auto") -> dict[str, DataFrame]:
+def simple_star(silver_df: DataFrame, key_method: str = "range") -> dict[str, DataFrame]:
     """The simpler star schema (no unknown members; unmatched keys stay NULL)."""
     s = Dm.as_transport_silver(silver_df)
     dims = {
@@ -125,52 +117,69 @@ def simple_star(silver_df: DataFrame, key_method: str = "auto") -> dict[str, Dat
     return dims
 
 
-def build_tables(spark: SparkSession, source: str, target: str, opts: GoldOptions = GoldOptions(),
-                 clean: CleanOptions = CleanOptions()) -> dict:
-    """The whole job: CSV folder -> bronze, silver, dimensions and fact tables under ``target``.
+def build_tables(spark: SparkSession, source: str, target: str | None = None, opts: GoldOptions = GoldOptions(),
+                 clean: CleanOptions = CleanOptions(), schema: str | None = None) -> dict:
+    """The whole job: CSV folder -> bronze, silver, dimensions and fact tables.
 
-    Each table is written once and the next stage reads the stored copy.
-    Returns the expectation counts gathered while silver was written.
+    The tables go under the folder ``target``, or into the catalog's ``schema``
+    (``catalog.schema`` or ``schema``, made if it is missing). Each table is
+    written once and the next stage reads the stored copy. Returns the
+    expectation counts gathered while silver was written.
     """
     from regstar.sources.csv_ingest import ingest_csv
 
-    root = target.rstrip("/")
-    ingest_csv(spark, source).write.mode("overwrite").parquet(f"{root}/bronze_registrations")
-    bronze_df = spark.read.parquet(f"{root}/bronze_registrations")
+    if (target is None) == (schema is None):
+        raise ValueError("give a target folder or a catalog schema")
+    if schema is not None:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        if schema is not None:
+            write_table(df, table=f"{schema}.{name}")
+            return spark.table(f"{schema}.{name}")
+        path = f"{target.rstrip('/')}/{name}"
+        write_table(df, path=path)
+        return spark.read.parquet(path)
+
+    bronze_df = store(ingest_csv(spark, source), "bronze_registrations")
     silver_df, obs = silver_with_metrics(bronze_df, clean)
-    silver_df.write.mode("overwrite").parquet(f"{root}/silver_registrations")
+    stored = store(silver_df, "silver_registrations")
     metrics = obs.get
-    tables = gold(spark, spark.read.parquet(f"{root}/silver_registrations"), opts, materialize_silver=False)
+    tables = gold(spark, stored, opts, materialize_silver=False)
     names = {"dim_date": "dim_date", "dim_manufacturer": "dim_manufacturer", "dim_vehicle": "dim_vehicle",
              "dim_office": "dim_office", "fact": "fact_registrations"}
     for key, name in names.items():
-        tables[key].write.mode("overwrite").parquet(f"{root}/{name}")
+        store(tables[key], name)
     return metrics
 
 
 SOURCE_CONF = "regstar.source_path"
 TARGET_CONF = "regstar.target_path"
+SCHEMA_CONF = "regstar.target_schema"
 
 
 def main(argv: list[str] | None = None) -> None:
     """``python -m regstar.plans.medallion [SOURCE_DIR TARGET_DIR]``
 
     Without arguments the folders come from the session settings
-    ``regstar.source_path`` and ``regstar.target_path`` (e.g. ``--conf`` on
-    spark-submit), read with ``spark.conf.get``.
+    ``regstar.source_path`` and ``regstar.target_path`` or, for catalog tables,
+    ``regstar.target_schema`` (e.g. ``--conf`` on spark-submit), read with
+    ``spark.conf.get``.
     """
     import sys
 
     args = sys.argv[1:] if argv is None else argv
     spark = SparkSession.builder.appName("regstar").getOrCreate()
+    schema = None
     if len(args) == 2:
         source, target = args
     else:
         source, target = spark.conf.get(SOURCE_CONF, None), spark.conf.get(TARGET_CONF, None)
-    if not source or not target:
+        schema = spark.conf.get(SCHEMA_CONF, None)
+    if not source or not (target or schema):
         raise SystemExit(f"usage: python -m regstar.plans.medallion SOURCE_DIR TARGET_DIR "
-                         f"(or set {SOURCE_CONF} and {TARGET_CONF})")
-    print(build_tables(spark, source, target))
+                         f"(or set {SOURCE_CONF} and {TARGET_CONF} or {SCHEMA_CONF})")
+    print(build_tables(spark, source, None if schema else target, schema=schema))
 
 
 if __name__ == "__main__":

@@ -127,13 +127,11 @@ def sql_fuel(fuel: str, model: str) -> str:
 
 
 def sql_make_year(my: str, model: str) -> str:
-    inferred = f"regexp_extract({model}, {q(R.YEAR_IN_TEXT)}, 0)"
-    raw = (f"(CASE WHEN {my} IS NULL OR trim({my}) = '' OR upper(trim({my})) = 'UNKNOWN' "
-           f"THEN CASE WHEN {inferred} <> '' THEN {inferred} ELSE NULL END ELSE {my} END)")
-    four = f"regexp_extract({raw}, {q(R.YEAR_IN_TEXT)}, 0)"
-    digits = rr(raw, "[^0-9]", "")
-    return (f"CASE WHEN {four} IS NOT NULL AND length({four}) = 4 THEN {four} "
-            f"WHEN length({digits}) = 2 THEN '20' || {digits} ELSE NULL END")
+    year = lambda text: f"list_extract(regexp_extract_all({text}, {q(R.YEAR_IN_TEXT)}), 1)"
+    text = f"CASE WHEN regexp_full_match(coalesce({my}, ''), ' *(unknown)? *', 'i') THEN {year(model)} ELSE {my} END"
+    return (f"(SELECT CASE WHEN regexp_matches(t, {q(R.YEAR_IN_TEXT)}) THEN {year('t')} "
+            f"WHEN regexp_full_match(t, '[^0-9]*[0-9][^0-9]*[0-9][^0-9]*') THEN '20' || array_to_string(regexp_extract_all(t, '[0-9]'), '') END "
+            f"FROM (SELECT {text} AS t))")
 
 
 def sql_ownership(c: str) -> str:

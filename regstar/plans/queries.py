@@ -63,9 +63,12 @@ def _silver(spark, sf):
     return Md.silver(_r(spark, sf))
 
 
-def _silver_table(spark, sf):
-    """Silver as the stored table the gold stage reads (written to the shared folder)."""
-    return materialize(_silver(spark, sf), "silver")
+def _stored_silver(spark, sf, *cols):
+    """The named silver columns, stored once for queries that read them several times."""
+    return materialize(_silver(spark, sf).select(*cols), "silver")
+
+
+_VEHICLE_COLUMNS = ("modelName_canonical", "variant", "fuel", "colour", "vehicleClass")
 
 
 c = F.col
@@ -337,34 +340,36 @@ def q_surrogate_key_customers(spark, sf):
 
 @register("dim_date", on_silver("""SELECT full_date, CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) AS DATE_ID,
   CAST(year(full_date) AS INTEGER) AS YEAR, CAST(month(full_date) AS INTEGER) AS MONTH, CAST(day(full_date) AS INTEGER) AS DAY,
-  CAST(quarter(full_date) AS INTEGER) AS QUARTER
+  CAST(quarter(full_date) AS INTEGER) AS QUARTER, coalesce(n, 0) AS n_registrations
 FROM (SELECT CAST(d AS DATE) AS full_date FROM generate_series(DATE '2000-01-01', DATE '2030-12-31', INTERVAL 1 DAY) t(d)
       UNION ALL SELECT DATE '1900-01-01')
-WHERE CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) IN (SELECT REGISTRATION_DATE_ID FROM silver)"""))
+LEFT JOIN (SELECT REGISTRATION_DATE_ID AS id, count(*) AS n FROM silver GROUP BY 1)
+  ON id = CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER)"""))
 def q_dim_date(spark, sf):
-    """Calendar rows in use by the registrations (the calendar itself is fixed-size)."""
-    used = _silver_table(spark, sf).select(c("REGISTRATION_DATE_ID").alias("DATE_ID")).distinct()
-    return Dm.dim_date(spark).join(used, "DATE_ID", "left_semi")
+    """The whole calendar with the registrations of each day."""
+    used = _silver(spark, sf).groupBy(c("REGISTRATION_DATE_ID").alias("DATE_ID")).agg(F.count(F.lit(1)).alias("n"))
+    return (Dm.dim_date(spark).join(used, "DATE_ID", "left")
+            .withColumn("n_registrations", F.coalesce("n", F.lit(0).cast("long"))).drop("n"))
 
 
 @register("dim_manufacturer", on_silver("SELECT * FROM dim_manufacturer", O.dims_ctes()))
 def q_dim_manufacturer(spark, sf):
-    return Dm.dim_manufacturer(_silver_table(spark, sf))
+    return Dm.dim_manufacturer(_silver(spark, sf))
 
 
 @register("vehicle_normalize", on_silver("SELECT * FROM vehicle_norm", O.dims_ctes()))
 def q_vehicle_normalize(spark, sf):
-    return Dm.vehicle_normalize(_silver_table(spark, sf))
+    return Dm.vehicle_normalize(_silver(spark, sf))
 
 
 @register("dim_vehicle", on_silver("SELECT * FROM dim_vehicle", O.dims_ctes()))
 def q_dim_vehicle(spark, sf):
-    return Dm.dim_vehicle(_silver_table(spark, sf))
+    return Dm.dim_vehicle(_silver(spark, sf))
 
 
 @register("dim_office", on_silver("SELECT * FROM dim_office", O.dims_ctes()))
 def q_dim_office(spark, sf):
-    return Dm.dim_office(_silver_table(spark, sf))
+    return Dm.dim_office(_silver(spark, sf))
 
 
 # --- matching and fact -------------------------------------------------------------------
@@ -373,13 +378,13 @@ _MATCH = O.dims_ctes() + "," + O.match_ctes("min")
 
 
 def _resolved(spark, sf, multi="min"):
-    s = _silver_table(spark, sf)
-    return M.resolve(s, Dm.dim_vehicle(s), exact_multi=multi)
+    s = _stored_silver(spark, sf, "tempRegistrationNumber", *_VEHICLE_COLUMNS)
+    return M.resolve(s, materialize(Dm.dim_vehicle(s), "dim-vehicle"), exact_multi=multi)
 
 
 @register("match_keys", on_silver("SELECT tempRegistrationNumber, KEY, BLOCK FROM stg", _MATCH))
 def q_match_keys(spark, sf):
-    return M.match_keys(_silver_table(spark, sf).select("tempRegistrationNumber", "modelName_canonical", "variant"),
+    return M.match_keys(_silver(spark, sf).select("tempRegistrationNumber", "modelName_canonical", "variant"),
                         "modelName_canonical", "variant").select("tempRegistrationNumber", "KEY", "BLOCK")
 
 
@@ -394,10 +399,10 @@ JOIN (SELECT KEY2, BLOCK2, CAST(min(VEHICLE_KEY) AS INTEGER) AS VEHICLE_KEY FROM
   ON u.BLOCK = d.BLOCK2 AND abs(length(u.KEY) - length(d.KEY2)) <= {R.LEVENSHTEIN_BOUND}
 WHERE levenshtein(u.KEY, d.KEY2) <= {R.LEVENSHTEIN_BOUND}""", _MATCH))
 def q_match_candidates(spark, sf):
-    s = _silver_table(spark, sf)
+    s = _stored_silver(spark, sf, *_VEHICLE_COLUMNS)
     keys = M.match_keys(s.select("modelName_canonical", "variant"), "modelName_canonical", "variant") \
         .select("KEY", "BLOCK").distinct()
-    dk = M.dim_keys(Dm.dim_vehicle(s))
+    dk = M.dim_keys(materialize(Dm.dim_vehicle(s), "dim-vehicle"))
     return M.candidate_pairs(M.unresolved_keys(keys, dk), dk)
 
 
@@ -454,28 +459,28 @@ v_dim_date AS (SELECT DATE, CAST(row_number() OVER (ORDER BY DATE NULLS FIRST) A
   FROM (SELECT DISTINCT fromdate_parsed AS DATE FROM silver WHERE fromdate_parsed IS NOT NULL))"""
 
 
-def _simple(spark, sf):
-    return Md.simple_star(_silver_table(spark, sf))
+def _transport(spark, sf):
+    return Dm.as_transport_silver(_silver(spark, sf))
 
 
 @register("v_dim_office", on_silver("SELECT * FROM v_dim_office", _V_DIMS))
 def q_v_dim_office(spark, sf):
-    return _simple(spark, sf)["dim_rta"]
+    return Dm.v_dim_office(_transport(spark, sf))
 
 
 @register("v_dim_maker", on_silver("SELECT * FROM v_dim_maker", _V_DIMS))
 def q_v_dim_maker(spark, sf):
-    return _simple(spark, sf)["dim_manufacturer"]
+    return Dm.v_dim_maker(_transport(spark, sf))
 
 
 @register("v_dim_vehicle", on_silver("SELECT * FROM v_dim_vehicle", _V_DIMS))
 def q_v_dim_vehicle(spark, sf):
-    return _simple(spark, sf)["dim_vehicle"]
+    return Dm.v_dim_vehicle(_transport(spark, sf))
 
 
 @register("v_dim_date", on_silver("SELECT * FROM v_dim_date", _V_DIMS))
 def q_v_dim_date(spark, sf):
-    return _simple(spark, sf)["dim_date"]
+    return Dm.v_dim_date(_transport(spark, sf))
 
 
 @register("v_fact", on_silver("""SELECT s.tempRegistrationNumber AS TEMP_REGISTRATION_NUMBER, v.VEHICLE_KEY, o.RTA_ID,
@@ -486,7 +491,9 @@ LEFT JOIN v_dim_office o ON upper(trim(s.OfficeCd)) = o.RTA_NAME
 LEFT JOIN v_dim_maker m ON s.makerName = m.MANUFACTURER_NAME
 LEFT JOIN v_dim_date d ON s.fromdate_parsed = d.DATE""", _V_DIMS))
 def q_v_fact(spark, sf):
-    return _simple(spark, sf)["fact"]
+    cols = ["tempRegistrationNumber", "makerName", "OfficeCd", "fromdate_parsed", "makeYear", "category", "fuel_clean",
+            "OWNERSHIP_TYPE", "TRANSPORT_TYPE", "REGISTRATION_YEAR", *_VEHICLE_COLUMNS]
+    return Md.simple_star(_stored_silver(spark, sf, *cols))["fact"]
 
 
 # --- scalar families on other tables ------------------------------------------------------
@@ -538,6 +545,11 @@ def q_scalar_arrays(spark, sf):
                     F.array_join(F.filter(toks, lambda x: F.length(x) > 3), " ").alias("long_tokens"))
 
 
+@register("normalize_text_documents", f"SELECT doc_id, {O.sql_normalize('text')} AS text_norm FROM documents")
+def q_normalize_text_documents(spark, sf):
+    return read_table(spark, sf, "documents").select("doc_id", T.normalize_text(c("text")).alias("text_norm"))
+
+
 # --- ingest (S1-S3) ----------------------------------------------------------------------
 
 _LAYOUTS = [

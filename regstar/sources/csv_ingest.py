@@ -5,8 +5,9 @@ with ``enforceSchema=false`` a header in another order fails the read. So
 files are grouped by their header line:
 
 1. list the files (``binaryFile`` with only the ``path`` column: no content is read);
-2. read each file's first line in a ``mapInPandas`` task (a few KB per file,
-   through pyarrow's file systems, spread over executors);
+2. read each file's header through Hadoop's file systems and codecs, so every
+   path that Spark reads works, compressed or not (a few KB per file, on some
+   driver threads: Spark's reader plans from a path list on the driver anyway);
 3. per distinct header, one ``spark.read.csv`` with an all-string schema built
    from that header (so positions are right), then harmonise;
 4. ``unionByName`` the harmonised groups.
@@ -18,12 +19,10 @@ from __future__ import annotations
 
 import csv
 import io
-import sys
-from collections.abc import Iterator, Mapping, Sequence
-from urllib.parse import urlparse
+import re
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,46 +30,65 @@ from pyspark.sql import types as T
 from regstar.domain import registrations as R
 from regstar.operators.harmonize import harmonize_columns
 
-# The header reader runs in Python workers, which need not have this package
-# on their path: ship this module's functions by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_HEADER_SCHEMA = "path string, header string"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+#: Headers that are read at the same time; they wait for the store, not for a CPU.
+HEADER_THREADS = 16
 
 
-def _open_first_line(path: str, max_bytes: int = 1 << 20) -> str:
-    import pyarrow.fs as pafs
-
-    parsed = urlparse(path)
-    if parsed.scheme in ("", "file"):
-        fs, p = pafs.LocalFileSystem(), parsed.path if parsed.scheme else path
-    else:
-        fs, p = pafs.FileSystem.from_uri(path)
-    with fs.open_input_stream(p) as f:
-        head = f.read(max_bytes)
-    text = head.decode("utf-8-sig", errors="replace")
-    return text.splitlines()[0] if text else ""
-
+def read_header(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file that is not blank, as Spark's reader takes it; None for an empty file.
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "header": [_open_first_line(p) for p in pdf["path"]]})
+    Lines end at CR, LF or CRLF only, a quoted field may hold line ends, and
+    no length is too long. A file with bytes but no such line raises.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    fs = file.getFileSystem(conf)
+    stream = fs.open(file)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+        lines = jvm.org.apache.hadoop.util.LineReader(codec.createInputStream(stream) if codec else stream, conf)
+        text, header, seen = jvm.org.apache.hadoop.io.Text(), "", False
+        while lines.readLine(text) > 0:
+            seen = True
+            line = text.toString()
+            header += line.removeprefix("\ufeff") if not header else "\n" + line
+            if header.strip() and header.count('"') % 2 == 0:
+                return header
+            if not header.strip():
+                header = ""
+    finally:
+        stream.close()
+    if header.strip():
+        raise ValueError(f"{path}: a quote in the header is never closed")
+    if seen:
+        raise ValueError(f"{path}: no header in a file that is not empty")
+    return None
+
+
+def list_files(spark: SparkSession, source: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """File paths under ``source`` (recursive), as a one-column frame; all files unless ``glob`` says which."""
+    sources = [source] if isinstance(source, str) else list(source)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(sources).select("path")
 
 
-def list_files(spark: SparkSession, source: str | Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """File paths under ``source`` (recursive), as a one-column frame."""
-    sources = [source] if isinstance(source, str) else list(source)
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(sources).select("path"))
+def file_headers(spark: SparkSession, paths: Iterable[str]) -> Iterator[tuple[str, str | None]]:
+    """(path, header) of every path, in order."""
+    paths = list(paths)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        yield from zip(paths, pool.map(lambda p: read_header(spark, p), paths), strict=True)
 
 
-def file_headers(paths: DataFrame) -> DataFrame:
-    """(path, header line) for every path; one small read per file, on executors."""
-    return paths.select("path").mapInPandas(_first_lines, _HEADER_SCHEMA)
+def as_literal(path: str) -> str:
+    """A path in which no character is a wildcard to Hadoop."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def split_header(line: str, sep: str = ",") -> list[str]:
+    csv.field_size_limit(max(csv.field_size_limit(), len(line)))
     return next(csv.reader(io.StringIO(line), delimiter=sep), [])
 
 
@@ -84,7 +102,8 @@ def read_group(spark: SparkSession, paths: Sequence[str], header: str, sep: str
     """Read files sharing one header line and harmonise them."""
     names = split_header(header, sep)
     raw = (spark.read.schema(header_schema(names)).option("header", "true").option("sep", sep)
-           .option("mode", "PERMISSIVE").csv(list(paths)))
+           .option("mode", "PERMISSIVE").option("multiLine", str("\n" in header).lower())
+           .csv([as_literal(p) for p in paths]))
     return harmonize_columns(raw, aliases, golden, headers=names)
 
 
@@ -93,15 +112,13 @@ def ingest_csv_paths(spark: SparkSession, paths: DataFrame, sep: str = ",",
                      golden: Sequence[str] = R.GOLDEN_COLUMNS) -> DataFrame | None:
     """Harmonised rows of all files in ``paths`` (a frame with a ``path`` column).
 
-    Only (path, header) pairs reach the driver, one per file: Spark's file
-    reader plans from a driver-side path list anyway. They are grouped on the
-    driver rather than with ``collect_list``, which would merge every path of a
-    common layout in one task. The rows themselves are read by executors.
+    The driver holds the paths and the distinct headers; the rows are read by
+    executors. Empty files have no rows.
     """
     groups: dict[str, list[str]] = {}
-    for row in file_headers(paths).toLocalIterator():
-        if row["header"]:
-            groups.setdefault(row["header"], []).append(row["path"])
+    for path, header in file_headers(spark, (r["path"] for r in paths.toLocalIterator())):
+        if header is not None:
+            groups.setdefault(header, []).append(path)
     frames = [read_group(spark, files, header, sep, aliases, golden) for header, files in groups.items()]
     if not frames:
         return None
@@ -111,10 +128,10 @@ def ingest_csv_paths(spark: SparkSession, paths: DataFrame, sep: str = ",",
     return out
 
 
-def ingest_csv(spark: SparkSession, source: str | Sequence[str], sep: str = ",", glob: str = "*.csv",
+def ingest_csv(spark: SparkSession, source: str | Sequence[str], sep: str = ",", glob: str | None = None,
                aliases: Mapping[str, str] = R.HEADER_ALIASES,
                golden: Sequence[str] = R.GOLDEN_COLUMNS) -> DataFrame:
-    """All CSV files under ``source``, harmonised to ``golden`` (all strings)."""
+    """All files under ``source``, harmonised to ``golden`` (all strings)."""
     out = ingest_csv_paths(spark, list_files(spark, source, glob), sep, aliases, golden)
     if out is None:
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in golden])

@@ -10,7 +10,6 @@ with ``orders``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from regstar.sources.tables import read_table
 
@@ -33,26 +32,24 @@ select cast(k as string) as slno,
  case k%5 when 0 then '2.0' when 1 then 'x' when 2 then null when 3 then '5' else '4.9' end as seatCapacity,
  case k%3 when 0 then 'Non-Transport' when 1 then 'TRANSPORT' else null end as category,
  case k%4 when 0 then 'Y' when 1 then ' yes ' when 2 then 'N' else null end as secondVehicle
-from (select o_orderkey as k, o_custkey as c, o_orderdate as d, p_name, p_brand,
+from (select o_orderkey as k, o_custkey as c, o_orderdate as d, p_brand,
+  p_name||' '||translate(cast(p_partkey as string),'0123456789','abcdefghij') as p_name,
   cast(year(o_orderdate) as string) as yyyy, lpad(cast(month(o_orderdate) as string),2,'0') as mm, lpad(cast(day(o_orderdate) as string),2,'0') as dd,
   lpad(cast(day(o_orderdate) as string),2,'0')||'/'||lpad(cast(month(o_orderdate) as string),2,'0')||'/'||cast(year(o_orderdate) as string) as dmy,
   lpad(cast(o_custkey%50+1 as string),2,'0') as n2
-  from {orders} join {part} on p_partkey = o_custkey % 200) b
+  from (select *, o_orderkey % (select count(*) from {part}) as pk from {orders}) o join {part} on p_partkey = pk) b
 """
 
 
 def dirty_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View R: dirty registrations over the whole ``orders`` table.
-
-    The join key ``o_custkey % 200`` lies in -199..199, so only parts with a
-    key in that range can match. Passing just those parts (at most 399 rows,
-    ``p_partkey`` being the part table's key) lets them be broadcast: every
-    order streams through one map-side join instead of a shuffle whose 200
-    distinct keys would cap the join at 200 tasks. The SQL text and its
-    result are unchanged.
+    """View R: dirty registrations over the whole ``orders`` and ``part`` tables.
+
+    Every part is used, and its key is spelled in the model text, so models,
+    dimensions and candidate pairs grow with the tables. The orders are dealt
+    out over the shuffle partitions, as a source of many files would be.
     """
-    part = read_table(spark, sf_dir, "part").filter(F.col("p_partkey").between(-199, 199))
-    return spark.sql(DIRTY_REGISTRATIONS_SQL, orders=read_table(spark, sf_dir, "orders"), part=F.broadcast(part))
+    orders = read_table(spark, sf_dir, "orders").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.sql(DIRTY_REGISTRATIONS_SQL, orders=orders, part=read_table(spark, sf_dir, "part"))
 
 
 def dirty_registrations_sql_for(orders: str = "orders", part: str = "part") -> str:

@@ -18,16 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from regstar.domain import registrations as R
 from regstar.sources.csv_ingest import BINARY_FILE_SCHEMA, ingest_csv_paths
 
+#: Files of one micro-batch: bounds the paths and headers that the driver holds at once.
+MAX_FILES = 5000
 
-def ingest_stream(spark: SparkSession, source: str, output: str, checkpoint: str, glob: str = "*.csv",
+
+def ingest_stream(spark: SparkSession, source: str, output: str, checkpoint: str, glob: str | None = None,
                   sep: str = ",", aliases: Mapping[str, str] = R.HEADER_ALIASES,
-                  golden: Sequence[str] = R.GOLDEN_COLUMNS, max_files_per_trigger: int | None = None,
+                  golden: Sequence[str] = R.GOLDEN_COLUMNS, max_files_per_trigger: int = MAX_FILES,
                   available_now: bool = True):
     """Start the ingest stream; returns the StreamingQuery (already finished if available_now)."""
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     listing = reader.load(source).select("path")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

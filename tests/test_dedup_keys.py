@@ -45,15 +45,12 @@ def test_dense_key_range_equals_plain(spark, values, parts):
     assert sorted(k for _, k in ranged) == list(range(1, len(values) + 1))
 
 
-def test_dense_key_auto_uses_size_bound(spark):
-    from regstar.operators.keys import size_bound
-    small = spark.range(2).select(F.when(F.col("id") == 0, "b").otherwise("a").alias("n")).distinct()
-    assert size_bound(small) is not None and size_bound(small) < 1 << 20
-    joined = small.join(small.withColumnRenamed("n", "m"), F.col("n") == F.col("m"))
-    assert size_bound(joined) is None  # joins can add rows: no bound
-    unknown = spark.createDataFrame([("b",), ("a",)], "n string")
-    assert size_bound(unknown) > 1 << 40  # rows from the driver: no statistics, so "auto" picks "range"
-    assert sorted(tuple(r) for r in dense_key(small, ["n"], "k").collect()) == [("a", 1), ("b", 2)]
+def test_default_dense_key_uses_no_single_task(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,)], "n string")
+    keyed = dense_key(df, ["n"], "k")
+    assert "SinglePartition" not in keyed.select("n", "k").drop("k")._jdf.queryExecution().toString()
+    assert sorted((tuple(r) for r in keyed.collect()), key=repr) == [("a", 2), ("b", 3), (None, 1)]
+    assert dense_key(df, ["n"], "k", as_int=False).schema["k"].dataType.simpleString() == "bigint"
 
 
 def test_dense_key_prefix_and_hash(spark):

@@ -592,13 +592,13 @@ def q_ingest_stream(spark, sf):
 
 @register("silver_incremental", on_silver("SELECT * FROM silver"))
 def q_silver_incremental(spark, sf):
-    """Silver built by the streaming refresh, four micro-batches of bronze files; equals the batch build."""
+    """Silver built by the streaming refresh, four micro-batches of bronze files and a compaction; equals the batch build."""
     r = _r(spark, sf)
     src = scratch_path(spark, "bronze-files")
     r.repartition(4).write.parquet(src)
-    state, silver, ckpt = (scratch_path(spark, n) for n in ("silver-state", "silver-table", "silver-ckpt"))
-    refresh_stream(spark, src, r.schema, state, silver, ckpt, buckets=16, max_files_per_trigger=1)
-    return read_silver(spark, silver)
+    state, ckpt = (scratch_path(spark, n) for n in ("silver-state", "silver-ckpt"))
+    refresh_stream(spark, src, r.schema, state, ckpt, max_files_per_trigger=1, compact_every=3)
+    return read_silver(spark, state)
 
 
 @register("fact_full", f"WITH {O.silver_ctes(O.r_cte() + ', r2 AS (' + O.ingest_select('r') + ')', 'r2')}, "

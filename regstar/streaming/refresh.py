@@ -1,70 +1,85 @@
 """Incremental silver refresh from a stream of bronze records.
 
-Keep-latest is a maximum per registration key, so merging a micro-batch with
-the stored winners of the keys it touches gives the same rows as rebuilding
-from all records. State and silver are stored partitioned by a hash bucket of
-the key; a batch rewrites only the buckets it touches, with dynamic partition
-overwrite:
-
-1. phase-A columns for the batch (key, repaired and parsed dates), bucketed;
-2. the stored state of the touched buckets (partition pruning), unioned with
-   the batch, reduced by keep-latest;
-3. that new state is written once to the shared checkpoint folder (the
-   buckets being replaced cannot be read and overwritten in one job), then
-   replaces the touched state buckets, and ``finish_clean`` of it replaces
-   the touched silver buckets.
-
-Replaying a batch after a failure merges the same rows again; a maximum is
-idempotent, so the result does not change.
+Keep-latest is a maximum per registration key, so it can be taken of parts and
+then of the parts' results. Each micro-batch writes one immutable *delta*: the
+winners among its own rows, with the phase-A columns (key, repaired and parsed
+dates). It reads and rewrites nothing that is stored, so a batch costs what it
+brings. Reading takes keep-latest over the newest base and the deltas after it.
+
+``compact`` folds them into a new base now and then. A base is used only once
+its ``_SUCCESS`` file, which Spark writes last, is there; readers that began
+before go on with the files they listed. Old files stay until ``drop_old``.
+
+A replayed batch overwrites its own delta with the same rows.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from regstar.operators.clean import CleanOptions, dedup_columns, finish_clean
 from regstar.operators.dedup import keep_latest_by
 from regstar.operators.quality import expect_or_drop
 from regstar.plans import medallion as Md
-from regstar.session import materialize
 
-BUCKET = "_bucket"
 
-
-def bucket_of(key, buckets: int):
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+def _parts(spark: SparkSession, state_path: str) -> tuple[int | None, list[int], list[str]]:
+    """(the newest finished base's last batch, the deltas after it, what neither needs any more)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"base": [], "delta": []}
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        m = re.fullmatch(r"(base|delta)=(\d+)", status.getPath().getName())
+        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found[m[1]].append(int(m[2]))
+    base = max(found["base"], default=None)
+    last = -1 if base is None else base
+    old = [f"base={b}" for b in found["base"] if b != base] + [f"delta={d}" for d in found["delta"] if d <= last]
+    return base, sorted(d for d in found["delta"] if d > last), old
+
+
+def merge_batch(batch: DataFrame, batch_id: int, state_path: str, opts: CleanOptions = CleanOptions()) -> None:
+    """Store the winners of one batch of bronze rows as its delta."""
+    latest = keep_latest_by(dedup_columns(batch, opts), [Md.REG_KEY], Md.latest_order())
+    latest.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/delta={batch_id}")
+
+
+def read_state(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """The latest row per key over the base and the deltas after it; None before the first batch."""
+    base, deltas, _ = _parts(spark, state_path)
+    names = ([] if base is None else [f"base={base}"]) + [f"delta={d}" for d in deltas]
+    if not names:
+        return None
+    rows = spark.read.parquet(*[f"{state_path.rstrip('/')}/{n}" for n in names])
+    return rows if base is not None and not deltas else keep_latest_by(rows, [Md.REG_KEY], Md.latest_order())
+
+
+def read_silver(spark: SparkSession, state_path: str, opts: CleanOptions = CleanOptions()) -> DataFrame | None:
+    """Silver as the rows stored so far give it."""
+    state = read_state(spark, state_path)
+    return None if state is None else finish_clean(expect_or_drop(state, Md.SILVER_EXPECTATIONS), opts)
+
+
+def compact(spark: SparkSession, state_path: str) -> None:
+    """Fold the base and the deltas into a new base; nothing to do without deltas."""
+    _, deltas, _ = _parts(spark, state_path)
+    if deltas:
+        read_state(spark, state_path).write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/base={deltas[-1]}")
+
+
+def drop_old(spark: SparkSession, state_path: str) -> None:
+    """Delete what the newest base replaces; when no reader uses it any more."""
+    jvm = spark.sparkContext._jvm
+    for name in _parts(spark, state_path)[2]:
+        path = jvm.org.apache.hadoop.fs.Path(f"{state_path.rstrip('/')}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-def merge_batch(batch: DataFrame, state_path: str, silver_path: str, buckets: int = 64,
-                opts: CleanOptions = CleanOptions()) -> None:
-    """Merge one batch of bronze rows into the keyed state and the silver table."""
-    spark = batch.sparkSession
-    keyed = dedup_columns(batch, opts).withColumn(BUCKET, bucket_of(F.col(Md.REG_KEY), buckets))
-    touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
-    if not touched:
-        return
-    if _exists(spark, state_path):
-        old = spark.read.parquet(state_path).filter(F.col(BUCKET).isin(touched))
-        keyed = keyed.unionByName(old.select(*keyed.columns))
-    latest = keep_latest_by(keyed, [Md.REG_KEY], Md.latest_order())
-    state = materialize(latest, "silver-state")
-    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(state_path)
-    silver = finish_clean(expect_or_drop(state, Md.SILVER_EXPECTATIONS), opts)
-    silver = silver.withColumn(BUCKET, bucket_of(F.col(Md.REG_KEY), buckets))
-    silver.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(silver_path)
-
-
-def refresh_stream(spark: SparkSession, source: str, schema, state_path: str, silver_path: str,
-                   checkpoint: str, buckets: int = 64, max_files_per_trigger: int | None = None,
-                   fmt: str = "parquet"):
+def refresh_stream(spark: SparkSession, source: str, schema, state_path: str, checkpoint: str,
+                   max_files_per_trigger: int | None = None, compact_every: int = 50, fmt: str = "parquet"):
     """Run the refresh over new files in ``source`` (availableNow); returns the finished query."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
@@ -72,14 +87,11 @@ def refresh_stream(spark: SparkSession, source: str, schema, state_path: str, si
     stream = reader.load(source)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, state_path, silver_path, buckets)
+        merge_batch(batch, batch_id, state_path)
+        if (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, state_path)
 
     query = (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
-
-
-def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
-    return spark.read.parquet(silver_path).drop(BUCKET)
-

@@ -64,13 +64,25 @@ def test_incremental_refresh_equals_batch_silver(spark):
 def test_replayed_batch_is_idempotent(spark):
     from regstar.plans import medallion as Md
     from regstar.session import scratch_path
-    from regstar.streaming.refresh import merge_batch, read_silver
+    from regstar.streaming.refresh import compact, drop_old, merge_batch, read_silver
     r = dirty_registrations(spark, SF_SMALL)
-    state, silver = scratch_path(spark, "st"), scratch_path(spark, "sv")
-    merge_batch(r, state, silver, buckets=8)
-    once = sorted(map(repr, read_silver(spark, silver).collect()))
-    merge_batch(r, state, silver, buckets=8)
-    assert sorted(map(repr, read_silver(spark, silver).collect())) == once
+    state = scratch_path(spark, "st")
+    folder = urlparse(state).path
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_ino for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+    merge_batch(r, 0, state)
+    once = sorted(map(repr, read_silver(spark, state).collect()))
+    merge_batch(r, 0, state)
+    assert sorted(map(repr, read_silver(spark, state).collect())) == once
+    before = files()
+    merge_batch(r.limit(5), 1, state)  # a small batch touches nothing that is stored
+    assert before.items() <= files().items()
+    compact(spark, state)
+    drop_old(spark, state)
+    assert not any("delta=" in f for f in files())
+    assert sorted(map(repr, read_silver(spark, state).collect())) == once
     assert len(once) == Md.silver(r).count()
 
 

@@ -4,20 +4,21 @@ A passage is a window of ``window`` consecutive words. Windows are searched at
 ``window / 2^k`` words first; only what repeats there is extended to twice the
 length, until the asked length is reached or nothing survives.
 
-* Documents with one text are one *class*: its smallest document stands for it,
-  and the others lose every word (if they have a window at all).
+* Of the documents with one text the smallest stands for all; the others lose
+  every word (if they have a window at all) and take no further part.
 * At the first length n only a content-chosen subset is looked at: of any n + 1
   consecutive windows the one with the least hash. A repeated window of 2 n words
   has the same n + 1 windows wherever it stands, so its chosen one is looked at
   everywhere, and none is missed.
-* The windows of twice the length around the chosen windows that occur in more
-  than one class are hashed again, and so on. At the last length the smallest
-  document of each window decides.
-
-Everything is an aggregate with a partial step or a join on a hash, so that a
-passage which a third of all documents share is one row per task before the
-shuffle, and AQE may split its join. The documents' own shuffle is the same
-exchange in each pass and is reused.
+* A window of twice the length goes on if its chosen window occurs in more than
+  one document; beyond that, if both its halves do. At the last length the
+  smallest document of each window decides.
+
+Counts are aggregates with a partial step and the rest are joins on a hash, so
+a passage that a third of all documents share is one row per task before the
+shuffle, and AQE may split its join. Texts are shuffled only where they have
+candidates: their ids are broadcast if they are few (checked), else joined.
+Facts are joined back by document id and checked against the text's own hashes.
 """
 
 from __future__ import annotations
@@ -29,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.llm import wordhash as wh
-from regstar.llm.common import ship, text_of
+from regstar.llm.common import BROADCAST_BYTES, ship, small_side, stage, stored_bytes, text_of
 from regstar.sources.tables import read_table
 
 WINDOW = 50
 #: Windows are halved down to no fewer words than this.
 LEAST_WORDS = 25
-#: Where a document without id stands in the order: after all others.
+#: Documents without id stand after all others, in the order of a hash of their text.
 LAST = (1 << 63) - 1
+WORD_END = r"[\x20\x09-\x0D]+"
 
 
 def lengths(window: int) -> list[int]:
@@ -66,94 +68,72 @@ def _second_hash(w: wh.Words, start: np.ndarray, n: int) -> np.ndarray:
     return (wh.mix(total) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def chosen(h: np.ndarray, span: int) -> np.ndarray:
-    """Places that hold the least of some ``span`` consecutive values (the first of equals)."""
-    if not len(h):
+def least_of(h: np.ndarray, span: int) -> np.ndarray:
+    """For each ``span`` consecutive values the place of the least (the first of equals)."""
+    if len(h) < span:
         return np.zeros(0, dtype=np.int64)
-    if len(h) <= span:
-        return np.array([int(h.argmin())])
     views = np.lib.stride_tricks.sliding_window_view(h, span)
-    out = []
-    for at in range(0, len(views), 1 << 16):
-        part = views[at:at + (1 << 16)]
-        out.append(np.unique(part.argmin(axis=1) + np.arange(at, at + len(part))))
-    return np.unique(np.concatenate(out))
+    step = 1 << 15
+    return np.concatenate([views[k:k + step].argmin(axis=1) + np.arange(k, min(k + step, len(views))) for k in range(0, len(views), step)])
 
 
 def _first_level(n: int, window: int):
-    schema = pa.schema([("h", pa.int64()), ("rid", pa.int64()), ("at", pa.int32())])
+    schema = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("at", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in wh.slices(big, 1):
                 w = wh.words_of(b.column(1))
-                rid = b.column(0).to_numpy()
+                doc = b.column(0).to_numpy()
                 h = wh.runs(w.hash, n)
-                hs, rs, ats = [], [], []
-                for k in np.flatnonzero(w.counts >= window):
+                places, texts = [], np.flatnonzero(w.counts >= window)
+                for k in texts:
                     first, last = int(w.first[k]), int(w.first[k + 1])
-                    here = h[first:last - n + 1]
                     # a window of `window` words holds window - n + 1 runs of n words
-                    at = chosen(here, window - n + 1)
-                    hs.append(here[at])
-                    ats.append(at)
-                    rs.append(np.full(len(at), rid[k]))
-                if hs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(rs)),
-                         pa.array(np.concatenate(ats).astype(np.int32))], schema=schema)
+                    least = least_of(h[first:last - n + 1], window - n + 1)
+                    places.append(first + least[np.append(True, least[1:] != least[:-1])])
+                if places:
+                    at = np.concatenate(places)
+                    own = np.repeat(texts, [len(p) for p in places])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(doc[own]),
+                                                      pa.array((at - w.first[own]).astype(np.int32))], schema=schema)
 
     return run
 
 
 def _next_level(n: int, size: int, first: bool):
-    """Windows of ``size`` words from survivors of ``n`` words: around a chosen one, or
-    those whose two halves both survive."""
-    schema = pa.schema([("h", pa.int64()), ("check", pa.int32()), ("rid", pa.int64()), ("doc", pa.int64()), ("at", pa.int32())])
+    """Windows of ``size`` words from survivors of ``n`` words: those whose chosen run
+    survived or, after the first level, whose two halves both did."""
+    schema = pa.schema([("h", pa.int64()), ("check", pa.int32()), ("doc", pa.int64()), ("at", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in wh.slices(big, 2):
-                rid, doc = b.column(0).to_numpy(), b.column(1).to_numpy()
-                w = wh.words_of(b.column(2))
+            for b in wh.slices(big, 1):
+                doc, ats = b.column(0).to_numpy(), b.column(2)
+                edge = ats.offsets.to_numpy()
+                survived = ats.values.to_numpy()
+                w = wh.words_of(b.column(1))
+                low = wh.runs(w.hash, n) if first else None
                 h = _level_hashes(w.hash, size)
-                ats = b.column(3)
-                for k in range(len(rid)):
+                places, own = [], []
+                for k in np.flatnonzero(w.counts >= size):
                     begin, count = int(w.first[k]), int(w.counts[k])
-                    at = ats[k].values.to_numpy().astype(np.int64)
-                    if count < size or not len(at):
-                        continue
-                    may = np.zeros(count + size + 1, dtype=np.int32)
-                    if first:  # starts from which a window holds the chosen run
-                        np.add.at(may, np.maximum(at - (size - n), 0), 1)
-                        np.add.at(may, at + 1, -1)
-                        start = np.flatnonzero(np.cumsum(may)[:count - size + 1] > 0)
+                    may = np.zeros(count + 1, dtype=bool)
+                    at = survived[edge[k]:edge[k + 1]]
+                    may[at[at < count]] = True
+                    if first:
+                        start = np.flatnonzero(may[least_of(low[begin:begin + count - n + 1], size - n + 1)])
                     else:
-                        may[at] = 1
                         start = np.flatnonzero(may[:count - size + 1] & may[n:n + count - size + 1])
-                    if len(start):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(h[begin + start].view(np.int64)), pa.array(_second_hash(w, begin + start, size)),
-                             pa.array(np.full(len(start), rid[k])), pa.array(np.full(len(start), doc[k])),
-                             pa.array(start.astype(np.int32))], schema=schema)
-
-    return _joined(run, schema)
-
-
-def _joined(run, schema: pa.Schema, rows: int = 50_000):
-    """The batches of ``run``, put together to larger ones."""
-    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in run(batches):
-            held.append(b)
-            n += len(b)
-            if n >= rows:
-                yield from pa.Table.from_batches(held, schema).combine_chunks().to_batches()
-                held, n = [], 0
-        if held:
-            yield from pa.Table.from_batches(held, schema).combine_chunks().to_batches()
+                    places.append(begin + start)
+                    own.append(np.full(len(start), k))
+                if places and sum(map(len, places)):
+                    at, own_ = np.concatenate(places), np.concatenate(own)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[at].view(np.int64)), pa.array(_second_hash(w, at, size)), pa.array(doc[own_]),
+                         pa.array((at - w.first[own_]).astype(np.int32))], schema=schema)
 
-    return out
+    return run
 
 
 def _cut(window: int):
@@ -163,28 +143,23 @@ def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in wh.slices(big, 1):
-                row, text, is_first, at = b.column(0), b.column(1), b.column(2).to_pylist(), b.column(3)
+                row, text, at = b.column(0), b.column(1), b.column(2)
                 w = wh.words_of(text)
-                h = None
+                h = _level_hashes(w.hash, window)
+                edge, values = at.offsets.to_numpy(), at.values
+                starts, wants = values.field("at").to_numpy().astype(np.int64), values.field("h").to_numpy().view(np.uint64)
                 out = []
                 for k in range(len(row)):
                     first, n = int(w.first[k]), int(w.counts[k])
-                    gone = np.zeros(n, dtype=bool)
-                    if not is_first[k]:
-                        gone[:] = n >= window
-                    elif at[k].is_valid and len(at[k].values):
-                        h = _level_hashes(w.hash, window) if h is None else h
-                        start = at[k].values.field("at").to_numpy().astype(np.int64)
-                        want = at[k].values.field("h").to_numpy().view(np.uint64)
-                        fits = start + window <= n
-                        start, want = start[fits], want[fits]
-                        start = start[h[first + start] == want]
-                        edge = np.zeros(n + 1, dtype=np.int64)
-                        np.add.at(edge, start, 1)
-                        np.add.at(edge, start + window, -1)
-                        gone = np.cumsum(edge)[:n] > 0
-                    raw = w.data
-                    kept = b" ".join([raw[s:e].tobytes() for s, e in zip(
+                    start, want = starts[edge[k]:edge[k + 1]], wants[edge[k]:edge[k + 1]]
+                    fits = start + window <= n
+                    start, want = start[fits], want[fits]
+                    start = start[h[first + start] == want]
+                    turn = np.zeros(n + 1, dtype=np.int64)
+                    np.add.at(turn, start, 1)
+                    np.add.at(turn, start + window, -1)
+                    gone = np.cumsum(turn)[:n] > 0
+                    kept = b" ".join([w.data[s:e].tobytes() for s, e in zip(
                         w.start[first:first + n][~gone].tolist(), w.end[first:first + n][~gone].tolist(), strict=True)])
                     out.append((n, int(gone.sum()), kept.decode()))
                 got = pa.StructArray.from_arrays(
@@ -194,46 +169,70 @@ def _cut(window: int):
     return run
 
 
+CUT = "struct<n_words:bigint,n_removed:bigint,kept:string>"
+
+
+def _with(docs: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Documents that have facts, joined with them. Where the facts' keys are few,
+    only those documents are shuffled."""
+    ids = facts.select(key)
+    few = stored_bytes(facts) <= 4 * BROADCAST_BYTES and small_side(stage(ids, "ids"))
+    return (docs.join(few, key, "left_semi") if few is not False else docs).join(facts, key)
+
+
+def _least_windows(found: DataFrame, keys: list[str]) -> DataFrame:
+    """The windows that are in more than one document, with the smallest."""
+    return found.groupBy(*keys).agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select(*keys, "lo")
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row as ``row`` with ``cut``: n_words, n_removed and kept (the words that
     stay, joined by a space).
 
     A word goes if it is in a window whose words also begin in a document with a
-    smaller id; all windows are judged on the input. NULL texts have no words. A
-    NULL id stands after all others; rows with one id are never earlier than each
-    other, and repeated rows get equal results. Extra columns of any name are
-    carried in ``row``.
+    smaller id; all windows are judged on the input. NULL texts have no words.
+    Rows without id stand after all others, in the order of a hash of their text;
+    rows with one id are never earlier than each other, and repeated rows get
+    equal results. Extra columns of any name are carried in ``row``.
     """
     ship(docs.sparkSession)
-    base = docs.select(F.struct("*").alias("row"), text_of(text_col).alias("t"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"))
-    base = base.select("row", "t", "doc", F.xxhash64("t").alias("ta"), F.xxhash64(F.lit(1), F.col("t")).alias("tb"))
-    base = base.select("row", "t", "doc", F.xxhash64("doc", "ta", "tb").alias("rid"), "ta", "tb")
-    firsts = (base.groupBy("ta", "tb").agg(F.min("doc").alias("doc"))
-              .select(F.xxhash64("doc", "ta", "tb").alias("rid"), F.lit(True).alias("is_first")))
-    marked = base.select("rid", "row", "t", "doc").join(firsts, "rid", "left")
-    stands = marked.filter("is_first").select("rid", "doc", "t")
-
     n, *more = lengths(window)
     if not more:
         raise ValueError(f"a window of {window} words can't be halved to {LEAST_WORDS} or more")
-    found = stands.select("rid", "t").mapInArrow(_first_level(n, more[0]), "h long, rid long, at int")
+    base = docs.select(F.struct("*").alias("row"))
+    text = text_of(F.col("row")[text_col])
+    no_id = F.lit(LAST) - F.pmod(F.xxhash64(text), F.lit(1 << 40))
+    base = base.select("row", F.coalesce(F.col("row")[id_col].cast("long"), no_id).alias("doc"))
+    hashed = base.select("doc", F.xxhash64(text).alias("ta"), F.xxhash64(F.lit(1), text).alias("tb"))
+    firsts = hashed.groupBy("ta", "tb").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    copies = small_side(stage(hashed.join(firsts, ["ta", "tb"]).filter("doc > first").select("doc", "ta").distinct(), "copies"))
+    marked = base.withColumn("ta", F.xxhash64(text))
+    stands = marked.join(copies, ["doc", "ta"], "left_anti").select("doc", "row")
+
+    found = stage(stands.select("doc", text.alias("t")).mapInArrow(_first_level(n, more[0]), "h long, doc long, at int"), "level")
     keys = ["h"]
-    repeated = found.groupBy(*keys).agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).filter("lo <> hi").select(*keys)
-    survivors = found.join(repeated, keys)
     for i, size in enumerate(more):
-        per_doc = survivors.groupBy("rid").agg(F.collect_list("at").alias("ats")).select(F.col("rid").alias("of"), "ats")
-        found = (stands.join(per_doc, F.col("rid") == F.col("of")).select("rid", "doc", "t", "ats")
-                 .mapInArrow(_next_level(n, size, i == 0), "h long, check int, rid long, doc long, at int"))
+        survivors = found.join(_least_windows(found, keys), keys)
+        per_doc = stage(survivors.groupBy("doc").agg(F.collect_list("at").alias("ats")), "survivors")
+        found = stage(_with(stands.select("doc", text.alias("t")), per_doc, "doc").select("doc", "t", "ats")
+                      .mapInArrow(_next_level(n, size, i == 0), "h long, check int, doc long, at int"), "level")
         keys, n = ["h", "check"], size
-        least = found.groupBy(*keys).agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select(*keys, "lo")
-        survivors = found.join(least, keys)
-    covered = (survivors.filter("lo < doc").groupBy("rid").agg(F.collect_list(F.struct("at", "h")).alias("ats"))
-               .select(F.col("rid").alias("of"), "ats"))
-    whole = marked.join(covered, F.col("rid") == F.col("of"), "left").select(
-        "row", "t", F.coalesce("is_first", F.lit(False)).alias("is_first"), "ats")
-    kind = whole.schema["row"].dataType.simpleString()
-    return whole.mapInArrow(_cut(window), f"row {kind}, cut struct<n_words:bigint,n_removed:bigint,kept:string>")
+    covered = found.join(_least_windows(found, keys), keys).filter("lo < doc")
+    covered = stage(covered.groupBy("doc").agg(F.collect_list(F.struct("at", "h")).alias("ats")), "covered")
+
+    kind = base.schema["row"].dataType.simpleString()
+    cut = _with(stands, covered, "doc").select("row", text.alias("t"), "ats").mapInArrow(_cut(window), f"row {kind}, cut {CUT}")
+    # the others keep all their words, or none if an earlier document has their text
+    rest = marked.join(copies.withColumn("copy", F.lit(True)), ["doc", "ta"], "left").join(
+        small_side(stage(covered.select("doc").withColumn("cut_here", F.lit(True)), "cut-ids")), "doc", "left")
+    words = F.array_remove(F.split(text, WORD_END, -1), "")
+    copy = F.coalesce(F.col("copy"), F.lit(False))
+    rest = rest.filter(copy | F.col("cut_here").isNull()).select("row", F.struct(words.alias("w"), copy.alias("copy")).alias("x"))
+    count = F.size("x.w").cast("long")
+    gone = F.col("x.copy") & (count >= window)
+    whole = rest.select("row", F.struct(count.alias("n_words"), F.when(gone, count).otherwise(F.lit(0).cast("long")).alias("n_removed"),
+                                        F.when(gone, "").otherwise(F.array_join("x.w", " ")).alias("kept")).alias("cut"))
+    return cut.unionByName(whole)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

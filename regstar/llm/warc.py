@@ -98,7 +98,7 @@ def parse_record(data: bytes) -> dict:
             "declared_bytes": int(fields["warc-payload-length"]) if "warc-payload-length" in fields else None, "block": block}
 
 
-def records_of_lines(lines: Iterator[tuple[str, bytes]]) -> Iterator[tuple[str, bytes]]:
+def records_of_lines(lines: Iterator[tuple[tuple, bytes]]) -> Iterator[tuple[tuple, bytes]]:
     """(archive, whole record) from the CRLF-separated pieces of inflated streams, in order.
 
     Holds one record at a time. The block is counted in bytes, so separators
@@ -131,54 +131,59 @@ def records_of_lines(lines: Iterator[tuple[str, bytes]]) -> Iterator[tuple[str,
         raise ValueError(f"{archive} ends inside a record")
 
 
-MEMBERS = "archive string, seq long, offset long, length long, record_id string, warc_type string, member binary"
-MEMBER = pa.schema([("archive", pa.string()), ("seq", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()),
+MEMBER = pa.schema([("archive", pa.int64()), ("source", pa.string()), ("seq", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()),
                     ("record_id", pa.string()), ("warc_type", pa.string()), ("member", pa.binary())])
+MEMBERS = "archive long, source string, seq long, offset long, length long, record_id string, warc_type string, member binary"
 #: Bytes of members that are handed to Spark at once.
 BATCH_BYTES = 8 << 20
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def lines():
-        for b in batches:
-            yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-
+def _members(keep: bool):
+    """The members of inflated streams with their places; without their bytes for the index alone."""
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), MEMBER, strict=True)], schema=MEMBER)
 
-    rows: list[tuple] = []
-    size, archive, seq, offset = 0, None, 0, 0
-    for name, data in records_of_lines(lines()):
-        if name != archive:
-            archive, seq, offset = name, 0, 0
-        member = gzip.compress(data, compresslevel=6, mtime=0)
-        r = parse_record(data)
-        rows.append((archive, seq, offset, len(member), r["record_id"], r["warc_type"], member))
-        seq, offset, size = seq + 1, offset + len(member) + len(EMPTY_MEMBER), size + len(member)
-        if size >= BATCH_BYTES or len(rows) >= 10_000:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def lines():
+            for b in batches:
+                yield from zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(2).to_pylist(), strict=True)
+
+        rows: list[tuple] = []
+        size, archive, seq, offset = 0, None, 0, 0
+        for name, data in records_of_lines(lines()):
+            if name != archive:
+                archive, seq, offset = name, 0, 0
+            member = gzip.compress(data, compresslevel=6, mtime=0)
+            r = parse_record(data)
+            rows.append((*archive, seq, offset, len(member), r["record_id"], r["warc_type"], member if keep else None))
+            seq, offset, size = seq + 1, offset + len(member) + len(EMPTY_MEMBER), size + len(member)
+            if size >= BATCH_BYTES or len(rows) >= 10_000:
+                yield batch(rows)
+                rows, size = [], 0
+        if rows:
             yield batch(rows)
-            rows, size = [], 0
-    if rows:
-        yield batch(rows)
 
+    return run
 
-def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Rewrites the monolithic archives under ``source`` as ``target/archive=.../part-*``.
 
-    Returns the sidecar index (archive, seq, offset, length, record_id,
-    warc_type), which is also written to ``target-index`` as Parquet. A gzip
-    stream cannot be split, so a task inflates whole archives, but it holds one
-    record at a time. A broken archive raises.
+def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Rewrites the monolithic archives under ``source`` as ``target/archive=<number>/part-*``.
+
+    Returns the sidecar index (archive, source, seq, offset, length, record_id,
+    warc_type), which is stored as Parquet in ``target-index``; ``source`` is
+    the name of the monolithic file. A gzip stream cannot be split, so a task
+    inflates whole archives, but it holds one record at a time, and the task
+    that inflates an archive also writes it: nothing is shuffled. The bytes of a
+    member depend on its record alone, so the index, made by a pass of its own,
+    agrees with the archives. A broken archive raises.
     """
     ship(spark)
     lines = spark.read.option("lineSep", "\r\n").text(source).select(
-        F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary").alias("line"))
-    members = stage(lines.mapInArrow(_members, MEMBERS), "members")
-    members.drop("member").write.mode("overwrite").parquet(f"{target}-index")
-    (members.select("archive", "seq", F.col("member").cast("string").alias("value"))
-     .repartition("archive").sortWithinPartitions("archive", "seq").select("archive", "value")
-     .write.mode("overwrite").partitionBy("archive")
+        F.xxhash64("_metadata.file_name").alias("archive"), F.col("_metadata.file_name").alias("source"), F.col("value").cast("binary").alias("line"))
+    (lines.mapInArrow(_members(True), MEMBERS).select("archive", "seq", F.col("member").cast("string").alias("value"))
+     .sortWithinPartitions("archive", "seq").select("archive", "value").write.mode("overwrite").partitionBy("archive")
      .option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(target))
+    lines.mapInArrow(_members(False), MEMBERS).drop("member").write.mode("overwrite").parquet(f"{target}-index")
     return spark.read.parquet(f"{target}-index")
 
 

@@ -36,11 +36,14 @@ class Rule:
     ignore_case: bool = False
 
 
-#: Fixed values of the contract, in its order.
+#: Fixed values of the contract, in its order. A match of ``[0-9a-f]+`` is always a
+#: whole run, and one of ``AKIA[A-Z0-9]+`` always reaches the end of its run, so the
+#: least lengths stand in the patterns; short runs, of which prose is full, are then
+#: never collected. ``assign`` may go on behind a short match and keeps its ``+``.
 BASE_RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, True),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", r"[0-9a-f]+", 0, 16),
+    Rule("access", r"AKIA[A-Z0-9]{14,}"),
+    Rule("hex", r"[0-9a-f]{16,}"),
 )
 #: Further formats, as their issuers publish them.
 MORE_RULES = (
@@ -148,18 +151,21 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
     The pieces between the matches and the matches themselves tile the text, so
     the sums of their lengths are the offsets.
     """
-    p = F.lit(("(?i)" if rule.ignore_case else "") + rule.pattern)
+    pattern = ("(?i)" if rule.ignore_case else "") + rule.pattern
+    p = F.lit(pattern)
     found = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
-    measured = F.transform(F.regexp_extract_all(text, p, F.lit(rule.group)), F.length) if rule.group else found
-    gaps = F.transform(F.split(text, ("(?i)" if rule.ignore_case else "") + rule.pattern, -1), F.length)
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
     step = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,rank:int,kind:string,end:int>>)").alias("out"))
-    each = F.arrays_zip(gaps.alias("gap"), found.alias("len"), measured.alias("measured"))
+    parts = [gaps.alias("gap"), found.alias("len")]
+    if rule.group:
+        parts.append(F.transform(F.regexp_extract_all(text, p, F.lit(rule.group)), F.length).alias("measured"))
+    each = F.arrays_zip(*parts)
 
     def add(acc: Column, m: Column) -> Column:
         start = acc["at"] + m["gap"]
         end = start + F.coalesce(m["len"], F.lit(0))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        keep = m["measured"] >= rule.least  # NULL for the last piece, after which there is no match
+        keep = m["measured" if rule.group else "len"] >= rule.least  # NULL for the last piece, after which there is no match
         return F.struct(end.alias("at"), F.when(keep, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(each, step, add, lambda a: a["out"])
@@ -183,8 +189,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     each = []
     for rank, rule in enumerate(rules):
         here = matches(F.col("t"), rule, rank)
-        each.append(F.when(F.array_contains("kinds", rule.kind), here).otherwise(F.expr(NO_SPANS))
-                    if trigram_query(rule) else here)
+        found_here = F.array_contains("kinds", rule.kind) if trigram_query(rule) else F.col("t").rlike(("(?i)" if rule.ignore_case else "") + rule.pattern)
+        each.append(F.when(found_here, here).otherwise(F.expr(NO_SPANS)))
     return base.select("row", "t", F.array_sort(F.flatten(F.array(*each))).alias("spans"))
 
 

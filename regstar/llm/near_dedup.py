@@ -78,15 +78,19 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """ln((documents + 1) / (documents with the slot + 1)) + 1 for each slot, over all documents.
+    """(1 + ln((documents + 1) / (documents with the slot + 1)) / ln(documents + 2)) / 2 for each slot, over all documents.
 
+    From 1 for a shingle of one document down to 1/2 for one that all have: a
+    passage weighs less the more documents share it, but the members of a large
+    group of near copies still find each other by what they share.
     The table has ``2 ** DF_BITS`` numbers whatever the input, so it may be
     collected and broadcast.
     """
     rows = (texts.select("t").mapInArrow(_count_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas())
     n = np.zeros(1 << DF_BITS)
     n[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    return (np.log((texts.count() + 1.0) / (n + 1.0)) + 1.0).astype(np.float32)
+    documents = texts.count()
+    return (0.5 + 0.5 * np.log((documents + 1.0) / (n + 1.0)) / np.log(documents + 2.0)).astype(np.float32)
 
 
 class Sampler:

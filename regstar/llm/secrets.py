@@ -59,6 +59,8 @@ RULES = BASE_RULES + MORE_RULES
 
 #: Strings and conjunctions beyond these numbers are given up for a weaker query.
 MOST_STRINGS, MOST_CONJUNCTIONS = 32, 64
+#: Trigrams that a conjunction keeps; fewer make a weaker query, never a wrong one.
+MOST_TRIGRAMS = 6
 
 
 def _fold(s: str) -> str:
@@ -123,17 +125,22 @@ def trigram_query(rule: Rule) -> list[frozenset[str]]:
     _, q = _walk(rp.parse(rule.pattern))
     if frozenset() in q:
         return []
-    return sorted((c for c in q if not any(o < c for o in q)), key=sorted)
+    spread = lambda c: frozenset(sorted(c)[::-(-len(c) // MOST_TRIGRAMS)])
+    return sorted({spread(c) for c in q if not any(o < c for o in q)}, key=sorted)
 
 
 def postings(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(trigram, key) for every trigram of the rules' queries that a document has."""
+    """(trigram, key) for every trigram of the rules' queries that a document has.
+
+    The one-element array binds the lower-cased text to a name, so that it is
+    made once and not for each trigram.
+    """
     vocabulary = sorted({g for r in rules for c in trigram_query(r) for g in c})
     low = F.translate(F.col("t"), string.ascii_uppercase, string.ascii_lowercase)
-    has = [F.when(F.contains(F.col("low"), F.lit(g)), F.lit(g)) for g in vocabulary]
-    found = F.array_compact(F.array(*has)) if has else F.expr("cast(array() as array<string>)")
-    return (docs.select("key", low.alias("low")).select("key", found.alias("g"))
-            .select(F.explode("g").alias("trigram"), "key").sortWithinPartitions("trigram", "key"))
+    asked = F.array(*map(F.lit, vocabulary)) if vocabulary else F.expr("cast(array() as array<string>)")
+    found = F.transform(F.array(low), lambda text: F.filter(asked, lambda g: F.contains(text, g)))[0]
+    return (docs.select("key", F.explode_outer(found).alias("trigram")).filter(F.col("trigram").isNotNull())
+            .select("trigram", "key").sortWithinPartitions("trigram", "key"))
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:

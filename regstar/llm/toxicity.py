@@ -35,7 +35,7 @@ SEEDS = {
 CATEGORIES = (*SEEDS, "toxic")
 THRESHOLD = 0.25
 #: Labelled rows that the chain is fitted on, at most, by label.
-MOST_TOXIC, MOST_OTHER = 6_000, 10_000
+MOST_TOXIC, MOST_OTHER = 5_000, 7_000
 FOLDS = 4
 #: Words that a link looks at, and how many training rows must have one.
 WORDS, LEAST_ROWS = 768, 5
@@ -168,7 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> list[Link]:
         return fit_chain(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(CATEGORIES)), bool), np.zeros(0, np.int64))
     lists = t["slots"].combine_chunks()
     size = np.diff(lists.offsets.to_numpy())
-    doc, slot = np.repeat(np.arange(n), size), lists.flatten().to_numpy().astype(np.int64)
+    doc, slot = np.repeat(np.arange(n, dtype=np.int32), size), lists.flatten().to_numpy()
+    common = np.bincount(slot, minlength=1 << WORD_BITS)[slot] >= LEAST_ROWS  # the others can't be chosen
+    doc, slot = doc[common], slot[common]
     toxic = t["toxic"].to_numpy() == 1
     y = np.zeros((n, len(CATEGORIES)), dtype=bool)
     for k, seeds in enumerate(SEEDS.values()):

@@ -60,12 +60,14 @@ def stored_bytes(df: DataFrame) -> int:
     return total
 
 
+def is_small(staged: DataFrame) -> bool:
+    """Whether a staged frame's stored size and rows are within the bounds above."""
+    return stored_bytes(staged) <= BROADCAST_BYTES and staged.count() <= BROADCAST_ROWS
+
+
 def small_side(staged: DataFrame) -> DataFrame:
-    """A broadcast hint for a staged frame whose stored size and rows are within
-    the bounds above; beyond them the frame as it is, for a shuffle join."""
-    if stored_bytes(staged) <= BROADCAST_BYTES and staged.count() <= BROADCAST_ROWS:
-        return F.broadcast(staged)
-    return staged
+    """A broadcast hint for a small staged frame; else the frame as it is, for a shuffle join."""
+    return F.broadcast(staged) if is_small(staged) else staged
 
 
 def row_key(*cols: Column) -> Column:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.llm import wordhash as wh
-from regstar.llm.common import BROADCAST_BYTES, ship, small_side, stage, stored_bytes, text_of
+from regstar.llm.common import is_small, ship, small_side, stage, text_of
 from regstar.sources.tables import read_table
 
 WINDOW = 50
@@ -175,9 +175,8 @@ CUT = "struct<n_words:bigint,n_removed:bigint,kept:string>"
 def _with(docs: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Documents that have facts, joined with them. Where the facts' keys are few,
     only those documents are shuffled."""
-    ids = facts.select(key)
-    few = stored_bytes(facts) <= 4 * BROADCAST_BYTES and small_side(stage(ids, "ids"))
-    return (docs.join(few, key, "left_semi") if few is not False else docs).join(facts, key)
+    ids = stage(facts.select(key), "ids")
+    return (docs.join(F.broadcast(ids), key, "left_semi") if is_small(ids) else docs).join(facts, key)
 
 
 def _least_windows(found: DataFrame, keys: list[str]) -> DataFrame:

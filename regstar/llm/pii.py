@@ -2,20 +2,19 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Each
 distinct value is a protected *entity*. From the whole corpus the operator
-estimates how much a nearby *term* (a word within ``REACH`` words of the entity)
-tells about it: the pointwise mutual information PMI(term; entity) against the
-entity's information content IC = -ln p(entity). Their ratio, the *disclosure*,
-is 1 where the term stands only in documents that have the entity. Terms of a
-disclosure of at least ``GENERALISE`` are replaced by their kind where they stand
-near the entity, from ``REMOVE`` on they are removed. A term must be near the
-entity in ``LEAST_CONTEXTS`` different contexts: copies of one passage are no
-evidence.
+estimates how much a *term* (any word of a document that holds the entity,
+outside the base spans) tells about it: the pointwise mutual information
+PMI(term; entity) against the entity's information content IC = -ln p(entity).
+Their ratio, the *disclosure*, is 1 where the term stands only in documents that
+have the entity. A term counts by its greatest disclosure over the entities of
+the document: from ``GENERALISE`` on it is replaced by its kind everywhere in
+that document, from ``REMOVE`` on it is removed.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,8 +23,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from regstar.llm.common import row_key, ship, small_side, stage, text_of
 from regstar.sources.tables import read_table
 
-REACH = 8
-LEAST_CONTEXTS = 2
 GENERALISE, REMOVE = 0.6, 0.9
 
 #: Fixed values of the contract, in its order.
@@ -37,6 +34,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W_][\w'-]*")
+#: Distinct terms that a task counts before it hands the counts on.
+COUNTED_AT_ONCE = 200_000
 
 
 def luhn(digits: str) -> bool:
@@ -85,67 +84,79 @@ def entity(rank: int, value: str) -> str:
     return f"{KINDS[rank]}:{value.lower() if rank == 0 else re.sub('[^0-9.]' if rank == 1 else '[^0-9]', '', value)}"
 
 
-def nearby(t: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
-    """Each entity with the terms (lower-cased, start, end) within ``REACH`` words of it, outside all spans."""
-    for s, rank, e in spans:
-        left, at = [], s
-        while at > 0 and len(left) < REACH:  # widen to the left until there are enough words
-            at = max(0, at - 40 * REACH)
-            begin = at
-            while begin > 0 and not t[begin - 1].isspace() and s - begin < 400 * REACH:
-                begin -= 1
-            left = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(t, begin, s)][-REACH:]
-            if s - at >= 400 * REACH:
-                break
-        right = []
-        for m in WORD.finditer(t, e, min(len(t), e + 400 * REACH)):
-            right.append((m.group().lower(), m.start(), m.end()))
-            if len(right) == REACH:
-                break
-        yield entity(rank, t[s:e]), [w for w in left + right if not any(w[1] < y and x < w[2] for x, _, y in spans)]
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("entity", pa.string()), ("context", pa.int64()), ("term", pa.string())])
+def terms_of(t: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Every word (lower-cased, start, end) of a text outside its base spans."""
+    k, upto = 0, 0  # upto: the furthest end of the spans that begin before the word's end
+    for m in WORD.finditer(t):
+        while k < len(spans) and spans[k][0] < m.end():
+            upto = max(upto, spans[k][2])
+            k += 1
+        if m.start() >= upto:
+            yield m.group().lower(), m.start(), m.end()
+
+
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts = pa.list_(pa.string())
     for b in batches:
         out = []
         for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            spans = base_spans(t)
-            for e, terms in nearby(t, spans) if spans else ():
-                seen = " ".join(w for w, _, _ in terms)
-                context = int.from_bytes(hashlib.blake2b(seen.encode(), digest_size=8).digest(), "big", signed=True)
-                out += [(key, e, context, w) for w in {w for w, _, _ in terms if len(w) > 2} or {""}]
+            if spans := base_spans(t):
+                out.append((key, sorted({entity(r, t[s:e]) for s, r, e in spans}), sorted({w for w, _, _ in terms_of(t, spans)})))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            keys, entities, terms = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(entities, texts), pa.array(terms, texts)],
+                                             names=["key", "entities", "terms"])
 
 
-def contexts(texts: DataFrame) -> DataFrame:
-    """(key, entity, context, term): the terms near each entity of texts (key, t)."""
-    return stage(texts.mapInArrow(_contexts, "key long, entity string, context long, term string"), "contexts")
+def holders(texts: DataFrame) -> DataFrame:
+    """(key, entities, terms) of each row of texts (key, t) that holds an entity."""
+    return stage(texts.mapInArrow(_holders, "key long, entities array<string>, terms array<string>"), "holders")
 
 
-def disclosures(texts: DataFrame, near: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms that give an entity away, from texts (key, t) and their contexts.
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"term": pa.array(list(n), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
 
-    Counts are over all documents. The terms' own frequencies are counted in a
-    second pass, for those terms alone that are near an entity often enough.
+    n: Counter[str] = Counter()
+    for b in batches:
+        for t in b.column(0).to_pylist():
+            n.update({w.lower() for w in WORD.findall(t)})
+            if len(n) >= COUNTED_AT_ONCE:
+                yield out()
+                n.clear()
+    if n:
+        yield out()
+
+
+def disclosures(texts: DataFrame, held: DataFrame) -> DataFrame:
+    """(key, term, disclosure) of the terms that give an entity of their row away,
+    from texts (key, t) and their holders.
+
+    Each row is a document. Only terms that can reach ``GENERALISE`` are
+    paired with entities: PMI is at most -ln p(term). Entities of a single row
+    have equal disclosures there and are paired as one.
     """
-    together = (near.filter("term <> ''").select("entity", "term", "context").distinct().groupBy("entity", "term")
-                .agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= LEAST_CONTEXTS))
-    together = stage(together, "pairs")
-    documents = near.select("entity", "term", "key").distinct()
-    both = documents.join(together, ["entity", "term"]).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    of_entity = near.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    wanted = small_side(stage(together.select("term").distinct(), "terms"))
-    words = F.array_distinct(F.transform(F.regexp_extract_all("t", F.lit(r"(?U)[\p{Alnum}][\w'-]*"), F.lit(0)), F.lower))
-    of_term = (texts.select("key", F.explode(words).alias("term")).join(wanted, "term")
-               .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
-    n = texts.count()
-    d = both.join(of_entity, "entity").join(of_term, "term")
-    ic = -F.log(F.col("n_entity") / F.lit(float(max(n, 1))))
-    pmi = F.log(F.col("n_both") * F.lit(float(n)) / (F.greatest("n_term", "n_both") * F.col("n_entity")))
-    return d.select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("disclosure")).filter(
-        F.col("disclosure") >= GENERALISE)
+    n = float(max(texts.count(), 1))
+    each = held.select("key", F.explode("entities").alias("entity"))
+    of_entity = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    who = F.when(F.col("n_entity") == 1, F.concat(F.lit("only:"), F.col("key").cast("string"))).otherwise(F.col("entity"))
+    entities = stage(each.join(of_entity, "entity").select("key", who.alias("entity"), "n_entity"), "entities")
+    most = float(entities.agg(F.max("n_entity")).first()[0] or 1)
+    # PMI / IC >= GENERALISE needs n_term <= n ** (1 - GENERALISE) * n_entity ** GENERALISE; 1.001 is for rounding
+    may = lambda n_entity: F.lit(1.001 * n ** (1 - GENERALISE)) * F.pow(n_entity, F.lit(GENERALISE))
+    of_term = (texts.select("t").mapInArrow(_count_terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+               .filter(F.col("n_term") <= may(F.lit(most))))
+    wanted = held.select(F.explode("terms").alias("term")).distinct()
+    of_term = stage(of_term.join(wanted, "term", "left_semi"), "terms")
+    # rows of one key are equal, so their terms are paired once and counted with their number
+    rows = held.groupBy("key").agg(F.first("terms").alias("terms"), F.count(F.lit(1)).alias("rows"))
+    terms = rows.select("key", "rows", F.explode("terms").alias("term")).join(small_side(of_term), "term")
+    pairs = stage(terms.join(entities.distinct(), "key").filter(F.col("n_term") <= may(F.col("n_entity"))), "pairs")
+    both = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("rows").alias("n_both"))
+    ic = -F.log(F.col("n_entity") / F.lit(n))
+    pmi = F.log(F.col("n_both") * F.lit(n) / (F.col("n_term") * F.col("n_entity")))
+    tell = both.select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("disclosure")).filter(F.col("disclosure") >= GENERALISE)
+    return pairs.select("key", "entity", "term").join(tell, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
 def kind_of(word: str) -> str:
@@ -164,13 +175,8 @@ def _spans(keep_clean: bool):
                 base = base_spans(t)
                 spans = [(s, r, e, KINDS[r], f"[{KINDS[r].upper()}]") for s, r, e in base]
                 if known and base:
-                    tell = {(k["entity"], k["term"]): k["disclosure"] for k in known}
-                    terms = {}
-                    for e, words in nearby(t, base):
-                        for w, s, end in words:
-                            if (d := tell.get((e, w))) is not None:
-                                terms[s, end] = max(d, terms.get((s, end), 0))
-                    spans += [(s, 4, e, "term", "" if d >= REMOVE else kind_of(t[s:e])) for (s, e), d in terms.items()]
+                    tell = {k["term"]: k["disclosure"] for k in known}
+                    spans += [(s, 4, e, "term", "" if tell[w] >= REMOVE else kind_of(t[s:e])) for w, s, e in terms_of(t, base) if w in tell]
                 spans.sort()
                 named = [f"{k}:{s}:{e}" for s, _, e, k, _ in spans]
                 clean = None
@@ -193,16 +199,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     spans (``kind:start:end``, code points, comma-joined), and, if asked for, the text
     with base spans replaced by their kind and terms generalised or removed.
 
-    NULL texts count as empty. Repeated rows get equal results and count once in
-    the statistics. Extra columns of any name are carried in ``row``.
+    NULL texts count as empty. Repeated rows get equal results, and each counts
+    in the statistics. Extra columns of any name are carried in ``row``.
     """
     ship(docs.sparkSession)
     key = row_key(F.col(id_col), F.col(text_col))
     texts = docs.select(key.alias("key"), text_of(text_col).alias("t"))
-    near = contexts(texts)
-    found = stage(disclosures(texts, near), "disclosures")
-    per_row = small_side(stage(near.select("key", "entity").distinct().join(found, "entity").groupBy("key").agg(
-        F.collect_list(F.struct("entity", "term", "disclosure")).alias("known")), "known-terms"))
+    per_row = small_side(stage(disclosures(texts, holders(texts)).groupBy("key").agg(
+        F.collect_list(F.struct("term", "disclosure")).alias("known")), "known-terms"))
     base = docs.select(F.struct("*").alias("row"), text_of(text_col).alias("t"), key.alias("key")).join(per_row, "key", "left").select("row", "t", "known")
     kind = base.schema["row"].dataType.simpleString()
     return base.mapInArrow(_spans(keep_clean), f"row {kind}, pii struct<counts:array<bigint>,base:string,spans:string,clean:string>")

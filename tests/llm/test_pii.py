@@ -55,3 +55,17 @@ def test_terms_that_give_an_entity_away(spark):
         else:
             assert r.clean == (r.text or "") and not r.spans
     assert find_pii(docs.limit(0)).count() == 0
+
+
+def test_terms_of_an_entity_that_stands_once(spark):
+    rng = random.Random(2)
+    noise = lambda n: " ".join(f"word{rng.randrange(60)}" for _ in range(n))
+    rows = [(0, f"Zebulon {noise(40)} zeb@example.org {noise(3)} Qi {noise(40)}"), (1, f"Yolanda {noise(30)}")]
+    rows += [(i, noise(40)) for i in range(2, 300)]
+    # all copies of one passage: the entity has one context
+    rows += [(i, f"Xenia word1 +1 (202) 555-0143 word2") for i in range(300, 304)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in find_pii(docs, keep_clean=True).select("row.doc_id", "row.text", "pii.*").collect()}
+    assert got[0].clean == re.sub("Zebulon|Qi", "", got[0].text.replace("zeb@example.org", "[EMAIL]"))
+    assert all(got[i].clean == " word1 [PHONE] word2" for i in range(300, 304))
+    assert got[1].clean == got[1].text and not got[1].spans

@@ -8,7 +8,8 @@ from a model that did not see the row, as it will be for new documents.
 ``labels.toxic`` marks documents; the finer categories are weakly labelled: a
 document marked toxic counts for a category if it has one of the category's seed
 words. The models see every word, and the last link predicts the mark itself.
-Training runs on the driver over bounded samples; scoring is one pass over every
+Training runs on the driver over bounded samples, whose rows weigh as many
+labelled rows as they stand for, so the base rates are those of all labels; scoring is one pass over every
 whole text in Arrow batches.
 """
 
@@ -89,22 +90,32 @@ def _matrix(doc: np.ndarray, slot: np.ndarray, rows: int, slots: np.ndarray) ->
     return x
 
 
-def fit_link(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> Link:
-    """A logistic model from the rows of a mask; words are chosen by their log odds among them."""
-    inside = rows[doc]
-    n1, n0 = max(1, int(y[rows].sum())), max(1, int((~y[rows]).sum()))
-    with_1 = np.bincount(slot[inside & y[doc]], minlength=1 << WORD_BITS)
-    with_0 = np.bincount(slot[inside & ~y[doc]], minlength=1 << WORD_BITS)
-    odds = np.log((with_1 + 0.5) / (n1 + 1)) - np.log((with_0 + 0.5) / (n0 + 1))
+def _rows_with(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a mask that have each slot, and the sum of their weights."""
+    n, total = np.zeros(1 << WORD_BITS, np.int32), np.zeros(1 << WORD_BITS)
+    for v in np.unique(weight[rows]):  # one value per label
+        part = np.bincount(slot[(rows & (weight == v))[doc]], minlength=1 << WORD_BITS)
+        n += part
+        total += v * part
+    return n, total
+
+
+def fit_link(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, earlier: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Link:
+    """A logistic model from the weighted rows of a mask; words are chosen by their log odds among them."""
+    weight = weight / weight[rows].mean()
+    n1, n0 = weight[rows & y].sum(), weight[rows & ~y].sum()
+    with_1, sum_1 = _rows_with(doc, slot, rows & y, weight)
+    with_0, sum_0 = _rows_with(doc, slot, rows & ~y, weight)
+    odds = np.log((sum_1 + 0.5) / (n1 + 1)) - np.log((sum_0 + 0.5) / (n0 + 1))
     z = np.abs(odds) / np.sqrt(1 / (with_1 + 0.5) + 1 / (with_0 + 0.5))
     z[with_1 + with_0 < LEAST_ROWS] = 0
     slots = np.sort(np.argsort(-z, kind="stable")[:WORDS])
     slots = slots[z[slots] > 0]
     x = np.hstack([_matrix(doc, slot, len(y), slots)[rows], earlier[rows].astype(np.float32), np.ones((int(rows.sum()), 1), np.float32)])
-    target = y[rows].astype(np.float32)
+    target, share = y[rows].astype(np.float32), (weight[rows] / weight[rows].sum()).astype(np.float32)
     w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
     for step in range(1, STEPS + 1):
-        g = x.T @ (_sigmoid(x @ w) - target) / len(x) + WEIGHT_DECAY * w
+        g = x.T @ ((_sigmoid(x @ w) - target) * share) + WEIGHT_DECAY * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     k = len(slots)
@@ -121,7 +132,7 @@ def predict(link: Link, doc: np.ndarray, slot: np.ndarray, rows: int, earlier: n
     return _sigmoid(z + earlier @ link.earlier)
 
 
-def fit_chain(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, fold: np.ndarray) -> list[Link]:
+def fit_chain(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, fold: np.ndarray, weight: np.ndarray) -> list[Link]:
     """One link per column of ``y``. A category without both kinds of rows keeps
     the constant probability of its rows."""
     links, earlier = [], np.zeros((len(y), 0))
@@ -131,12 +142,12 @@ def fit_chain(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, fold: np.ndarray
             links.append(Link(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), 30.0 if len(y) and target.all() else -30.0))
             out_of_fold = np.full(len(y), float(target.all()))
         else:
-            links.append(fit_link(doc, slot, np.ones(len(y), bool), earlier, target))
+            links.append(fit_link(doc, slot, np.ones(len(y), bool), earlier, target, weight))
             out_of_fold = np.zeros(len(y))
             for f in range(FOLDS):
                 rest = fold != f
                 if target[rest].any() and not target[rest].all() and (~rest).any():
-                    part = predict(fit_link(doc, slot, rest, earlier, target), doc, slot, len(y), earlier)
+                    part = predict(fit_link(doc, slot, rest, earlier, target, weight), doc, slot, len(y), earlier)
                     out_of_fold[~rest] = part[~rest]
         earlier = np.hstack([earlier, _logit(out_of_fold)[:, None]])
     return links
@@ -144,10 +155,12 @@ def fit_chain(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, fold: np.ndarray
 
 def fit(docs: DataFrame, labels: DataFrame) -> list[Link]:
     """The chain from labelled rows that are not held out, at most the bounds above,
-    chosen by a hash of the id; without any, every probability is 0."""
+    chosen by a hash of the id, each weighing its label's rows over those drawn;
+    without any, every probability is 0."""
     ship(docs.sparkSession)
     rest = labels.select(F.col("doc_id").alias("id"), "toxic").filter(
         F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
+    labelled = dict(rest.groupBy("toxic").count().collect())
     order = F.xxhash64("id")
     drawn = rest.filter("toxic = 1").orderBy(order).limit(MOST_TOXIC).unionByName(
         rest.filter("toxic = 0").orderBy(order).limit(MOST_OTHER))
@@ -165,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> list[Link]:
          .dropDuplicates(["id"]).toArrow().sort_by("id").combine_chunks())
     n = len(t)
     if not n:
-        return fit_chain(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(CATEGORIES)), bool), np.zeros(0, np.int64))
+        return fit_chain(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(CATEGORIES)), bool), np.zeros(0, np.int64), np.zeros(0))
     lists = t["slots"].combine_chunks()
     size = np.diff(lists.offsets.to_numpy())
     doc, slot = np.repeat(np.arange(n, dtype=np.int32), size), lists.flatten().to_numpy()
@@ -178,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> list[Link]:
         y[:, k] &= toxic
     y[:, -1] = toxic
     fold = (wh.mix(t["id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
-    return fit_chain(doc, slot, y, fold)
+    of_toxic, of_other = (max(1.0, labelled.get(k, 0) / most) for k, most in ((1, MOST_TOXIC), (0, MOST_OTHER)))
+    return fit_chain(doc, slot, y, fold, np.where(toxic, of_toxic, of_other))
 
 
 def score_documents(docs: DataFrame, chain: list[Link], text_col: str = "text") -> DataFrame:

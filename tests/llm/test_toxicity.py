@@ -30,3 +30,15 @@ def test_lowered_caps_leave_predictions_about_the_same(spark, monkeypatch):
     lowered_mean, lowered_marked = scores()
     assert abs(mean - 0.08) < 0.03
     assert abs(lowered_mean - mean) < 0.04 and abs(lowered_marked - marked) < 0.08, (mean, marked, lowered_mean, lowered_marked)
+
+
+def test_rare_seed_words_still_label_their_category(spark, monkeypatch):
+    seen = []
+    plain = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda doc, slot, y, *rest: (seen.append(y.sum(axis=0).tolist()), plain(doc, slot, y, *rest))[1])
+    seeds = [s for category in toxicity.SEEDS.values() for s in category]
+    docs = spark.createDataFrame([(i, f"common words and {seeds[i % len(seeds)] if i < 50 else 'others'}") for i in range(300)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id < 50 as int) as toxic")
+    kept = [r.doc_id for r in labels.filter(~toxicity.held_out(F.col("doc_id")) & F.col("toxic").eqNullSafe(1)).collect()]
+    toxicity.fit(docs, labels)
+    assert seen == [[*(sum(seeds[i % len(seeds)] in c for i in kept) for c in toxicity.SEEDS.values()), len(kept)]]

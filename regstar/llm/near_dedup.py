@@ -1,9 +1,9 @@
 """Near duplicates by improved consistent weighted sampling (ICWS).
 
 1. Every document's words (lower-cased letters and digits) give shingles of
-   ``SHINGLE`` words. Document frequencies are counted over all documents, in
-   ``2 ** DF_BITS`` hashed slots as MLlib's HashingTF and IDF do; a shingle
-   weighs its count in the document times its slot's inverse frequency.
+   ``SHINGLE`` words. Document frequencies are counted over all documents for
+   each shingle; a shingle weighs its count in the document times its inverse
+   frequency. Those of several documents are joined back to their documents.
 2. Documents with one text are one class from the start, and one of them goes on.
 3. ``BANDS * ROWS`` consistent weighted samples are drawn per document; two
    documents agree in a sample with the probability of their weighted Jaccard
@@ -24,18 +24,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.llm import wordhash as wh
-from regstar.llm.common import ship, stage, text_of
+from regstar.llm.common import ship, small_side, stage, text_of
 from regstar.llm.components import components
 from regstar.sources.tables import read_table
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 3
-DF_BITS = 18
+#: Shingles that a task counts before it hands the counts on.
+COUNTED_AT_ONCE = 1 << 20
+#: A shingle of one in so many documents is joined by broadcast, if they are few enough.
+FREQUENT = 1000
 #: Pivots that a bucket's members are compared with before the blocked comparison.
 PIVOTS = 3
 #: Members of a bucket that one task compares with as many others.
@@ -62,37 +65,101 @@ def _shingles(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[at], h[at], np.diff(np.append(at, len(h)))
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - DF_BITS)).astype(np.int64)
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, size = [], 0
 
+    def out() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
-def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << DF_BITS, dtype=np.int64)
     for big in batches:
         for b in wh.slices(big, 0):
-            doc, h, _ = _shingles(b.column(0))
-            pairs = np.unique((doc << DF_BITS) | _slot(h))
-            total += np.bincount(pairs & ((1 << DF_BITS) - 1), minlength=1 << DF_BITS)
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"slot": pa.array(used.astype(np.int32)), "n": pa.array(total[used])})
+            h = _shingles(b.column(0))[1]
+            parts, size = [*parts, h], size + len(h)
+            if size >= COUNTED_AT_ONCE:
+                yield out()
+                parts, size = [], 0
+    if size:
+        yield out()
 
 
-def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """(1 + ln((documents + 1) / (documents with the slot + 1)) / ln(documents + 2)) / 2 for each slot, over all documents.
+def _inverse(n: np.ndarray, documents: int) -> np.ndarray:
+    """(1 + ln((documents + 1) / (n + 1)) / ln(documents + 2)) / 2 for shingles of n documents.
 
     From 1 for a shingle of one document down to 1/2 for one that all have: a
     passage weighs less the more documents share it, but the members of a large
     group of near copies still find each other by what they share.
-    The table has ``2 ** DF_BITS`` numbers whatever the input, so it may be
-    collected and broadcast.
     """
-    rows = (texts.select("t").mapInArrow(_count_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas())
-    n = np.zeros(1 << DF_BITS)
-    n[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    documents = texts.count()
     return (0.5 + 0.5 * np.log((documents + 1.0) / (n + 1.0)) / np.log(documents + 2.0)).astype(np.float32)
 
 
+class Frequencies:
+    """Document frequencies of a corpus: a table (h, n) of the shingles of several documents; the others have one."""
+
+    def __init__(self, shared: DataFrame, documents: int):
+        self.shared, self.documents = shared, documents
+
+    def of(self, first: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Inverse frequencies of shingles. Collects the table, so for small corpora only."""
+        rows = self.shared.toPandas()
+        known = rows["h"].to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        known, count = known[order], rows["n"].to_numpy()[order]
+        n = np.ones(len(h))
+        if len(known):
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            n = np.where(known[at] == h, count[at], 1)
+        return _inverse(n, self.documents)
+
+
+class Given:
+    """Document frequencies that came with each text: a list of (h, n) of its shingles of several documents."""
+
+    def __init__(self, lists: pa.Array, documents: int):
+        self.sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        values = lists.flatten()
+        self.h, self.n = values.field(0).to_numpy().view(np.uint64), values.field(1).to_numpy()
+        self.documents = documents
+
+    def of(self, first: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Inverse frequencies of shingles; text k has first[k] to first[k + 1], in order."""
+        n = np.ones(len(h))
+        upto = np.cumsum(self.sizes)
+        for k in np.flatnonzero(self.sizes):
+            x, count = self.h[upto[k] - self.sizes[k]:upto[k]], self.n[upto[k] - self.sizes[k]:upto[k]]
+            own = h[first[k]:first[k + 1]]
+            at = np.searchsorted(own, x)
+            at[at == len(own)] = 0
+            hit = own[at] == x if len(own) else np.zeros(len(x), bool)
+            n[first[k] + at[hit]] = count[hit]
+        return _inverse(n, self.documents)
+
+
+def inverse_frequencies(texts: DataFrame) -> Frequencies:
+    """The frequencies of every shingle over all documents."""
+    counts = texts.select("t").mapInArrow(_count_shingles, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return Frequencies(stage(counts.filter("n >= 2"), "shared-shingles"), texts.count())
+
+
+def _document_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for big in batches:
+        for b in wh.slices(big, 1, 1 << 20):
+            doc, h, _ = _shingles(b.column(1))
+            yield pa.RecordBatch.from_pydict({"doc": pa.array(b.column(0).to_numpy()[doc]), "h": pa.array(h.view(np.int64))})
+
+
+def with_frequencies(texts: DataFrame, idf: Frequencies) -> DataFrame:
+    """texts (doc, t) with ``shared``: (h, n) of the shingles that several documents have.
+
+    The most frequent ones are joined by broadcast and then carry a key of their own.
+    """
+    frequent = small_side(stage(idf.shared.filter(F.col("n") * FREQUENT >= idf.documents).select("h", F.col("n").alias("often")), "frequent-shingles"))
+    each = texts.select("doc", "t").mapInArrow(_document_shingles, "doc long, h long").join(frequent, "h", "left")
+    each = each.withColumn("key", F.when(F.col("often").isNull(), F.col("h")).otherwise(F.xxhash64("doc", "h")))
+    known = each.join(idf.shared.select(F.col("h").alias("key"), "n"), "key", "left").withColumn("n", F.coalesce("often", "n")).filter("n is not null")
+    return texts.join(known.groupBy("doc").agg(F.collect_set(F.struct("h", "n")).alias("shared")), "doc", "left").select("doc", "t", "shared")
+
+
 class Sampler:
     """Consistent weighted samples. A hash of (shingle, sample) picks r and c, both
     Gamma(2, 1), and beta, uniform, from tables of 65,536 quantiles each."""
@@ -132,7 +199,7 @@ class Sampler:
         return wh.mix(out + np.arange(BANDS, dtype=np.uint64)[None])
 
 
-def _sign(idf):
+def _sign(documents: int):
     schema = pa.schema([("doc", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +210,8 @@ def _sign(idf):
                 if not len(doc):
                     continue
                 first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-                weight = n * idf.value[_slot(h)]
+                every = np.searchsorted(doc, np.arange(len(b) + 1))
+                weight = n * Given(b.column(2), documents).of(every, h)
                 bands = sampler.bands(h, weight, np.append(first, len(doc)))
                 ids = b.column(0).to_numpy()[doc[first]]
                 flat = pa.array(bands.reshape(-1).view(np.int64))
@@ -156,10 +224,10 @@ def _sign(idf):
 class Weighted:
     """Texts as weighted shingles, for exact similarities."""
 
-    def __init__(self, texts: pa.Array, idf: np.ndarray):
+    def __init__(self, texts: pa.Array, idf: Frequencies | Given):
         self.doc, self.h, n = _shingles(texts)
-        self.weight = (n * idf[_slot(self.h)]).astype(np.float64)
         self.first = np.searchsorted(self.doc, np.arange(len(texts) + 1))
+        self.weight = (n * idf.of(self.first, self.h)).astype(np.float64)
         total = np.append(0.0, np.cumsum(self.weight))
         self.total = total[self.first[1:]] - total[self.first[:-1]]
 
@@ -174,15 +242,15 @@ class Weighted:
         return both / (least + most - both)
 
 
-def _verify(idf):
-    """Of (a, ta, b, tb) the pairs (a, b) that are similar enough."""
+def _verify(documents: int):
+    """Of (a, ta, sa, b, tb, sb) the pairs (a, b) that are similar enough."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in wh.slices(big, 1):
-                a, ta, c, tc = (b.column(i) for i in range(4))
-                x = Weighted(pa.concat_arrays([ta, tc]), idf.value)
+                a, ta, sa, c, tc, sc = (b.column(i) for i in range(6))
+                x = Weighted(pa.concat_arrays([ta, tc]), Given(pa.concat_arrays([sa, sc]), documents))
                 n = len(a)
                 ok = np.array([x.similarity(i, n + i) >= THRESHOLD for i in range(n)])
                 yield pa.RecordBatch.from_arrays([pa.array(a.to_numpy()[ok]), pa.array(c.to_numpy()[ok])], schema=schema)
@@ -190,19 +258,19 @@ def _verify(idf):
     return run
 
 
-def _compare_block(idf):
+def _compare_block(documents: int):
     """Links between the two blocks of a bucket (or within one) across components."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[1], key[2]
-        pdf = pdf.reset_index(drop=True)
-        x = Weighted(pa.array(pdf["t"]), idf.value)
-        comp, blk, doc = pdf["component"].to_numpy(), pdf["blk"].to_numpy(), pdf["doc"].to_numpy()
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        b = table.combine_chunks().to_batches()[0]
+        x = Weighted(b.column("t"), Given(b.column("shared"), documents))
+        comp, blk, doc = (b.column(c).to_numpy() for c in ("component", "blk", "doc"))
         out = []
         for p in np.flatnonzero(blk == i):
             for q in np.flatnonzero((blk == j) & (comp != comp[p])):
                 if (i != j or p < q) and x.similarity(p, q) >= THRESHOLD:
                     out.append((doc[p], doc[q]))
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+        return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
 
     return run
 
@@ -216,22 +284,21 @@ def _labelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
     return m.join(open_.filter("lo <> hi").select("bucket", "n"), "bucket")
 
 
-def find_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Links (u, v) between documents (doc, t) of different texts, enough to join each component."""
+def find_links(texts: DataFrame, documents: int) -> DataFrame:
+    """Links (u, v) between documents (doc, t, shared) of different texts, enough to join each component."""
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(idf)
-    signed = texts.select("doc", "t").mapInArrow(_sign(shared), "doc long, bands array<long>")
+    signed = texts.select("doc", "t", "shared").mapInArrow(_sign(documents), "doc long, bands array<long>")
     every = stage(signed.select("doc", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "doc"), "bands")
     full = every.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi").select("bucket")
     buckets = stage(every.join(full, "bucket").distinct(), "buckets")
     active = stage(texts.join(buckets.select("doc").distinct(), "doc", "left_semi"), "candidate-texts")
-    other = active.select(F.col("doc").alias("b"), F.col("t").alias("tb"))
+    other = active.select(F.col("doc").alias("b"), F.col("t").alias("tb"), F.col("shared").alias("sb"))
 
     def compare(pairs: DataFrame, name: str) -> DataFrame:
         """Verified ones of the pairs (doc, b)."""
-        both = active.join(pairs, "doc").join(other, "b").select("doc", "t", "b", "tb")
-        return stage(both.mapInArrow(_verify(shared), "u long, v long"), name)
+        both = active.join(pairs, "doc").join(other, "b").select("doc", "t", "shared", "b", "tb", "sb")
+        return stage(both.mapInArrow(_verify(documents), "u long, v long"), name)
 
     links = spark.createDataFrame([], "u long, v long")
     for turn in range(PIVOTS):
@@ -251,7 +318,7 @@ def find_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
                         lambda k: F.struct(F.least(k, F.col("blk")).alias("i"), F.greatest(k, F.col("blk")).alias("j")))
     rest = (left.select("bucket", "doc", "component", "blk", F.explode(turns).alias("turn")).select("*", "turn.i", "turn.j")
             .drop("turn").join(active, "doc").groupBy("bucket", "i", "j")
-            .applyInPandas(_compare_block(shared), "u long, v long"))
+            .applyInArrow(_compare_block(documents), "u long, v long"))
     return links.unionByName(rest).distinct()
 
 
@@ -275,7 +342,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     copies = stage(marked.filter("worded").join(firsts.filter("n > 1"), ["ta", "tb"]).select(F.col("doc").alias("u"), F.col("first").alias("v")), "copies")
     stands = known.withColumn("ta", F.xxhash64("t")).join(
         firsts.select(F.col("first").alias("doc"), "ta"), ["doc", "ta"], "left_semi").select("doc", "t")
-    links = find_links(stands, idf).unionByName(copies)
+    links = find_links(stage(with_frequencies(stands, idf), "weighted-texts"), idf.documents).unionByName(copies)
     comp = components(links)
     ids = marked.select("doc").distinct()
     return ids.join(comp.withColumnRenamed("node", "doc"), "doc", "left").select(

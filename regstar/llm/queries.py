@@ -14,6 +14,7 @@ QUERIES = {
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_pii": pii.op8_pii,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    "op9_near_items": decontaminate.op9_near_items,
     "op10_minhash_near_dedup": near_dedup.op10_minhash_near_dedup,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from regstar.llm import decontaminate, embedding_dedup, exact_dedup, near_dedup, pii, quality, secrets, sentencepieces, substring_dedup, toxicity, warc
+from regstar.llm import decontaminate, embedding_dedup, exact_dedup, near_dedup, pii, quality, resampling, secrets, sentencepieces, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_near_items": decontaminate.op9_near_items,
     "op10_minhash_near_dedup": near_dedup.op10_minhash_near_dedup,
     "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+    "op12_importance_resampling": resampling.op12_importance_resampling,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op6_substring_dedup": substring_dedup.ORACLE_SQL,
     "op9_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op11_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_importance_resampling": resampling.ORACLE_SQL,
 }

@@ -84,8 +84,8 @@ def _hash_slice(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: np.n
     return mix(np.add.reduceat(letters * w[inside], begin) + size.astype(np.uint64))
 
 
-def words_of(text: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray = AS_IS, seed: int = 1) -> Words:
-    """Words of a string array; NULL has none."""
+def split_words(text: pa.Array, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(data, start, end, first) of the words of a string array, as in ``Words``; NULL has none."""
     if pa.types.is_large_string(text.type):
         offsets = np.frombuffer(text.buffers()[1], dtype=np.int64)
     else:
@@ -105,13 +105,19 @@ def words_of(text: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray =
     follows = inside.copy()
     follows[offsets] = False
     ends = np.flatnonzero(inside[:-1] & ~follows[1:]) + 1
+    return data, start, ends, np.searchsorted(start, offsets)
+
+
+def words_of(text: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray = AS_IS, seed: int = 1) -> Words:
+    """Words of a string array; NULL has none."""
+    data, start, ends, first = split_words(text, separators)
     hashes = np.empty(len(start), dtype=np.uint64)
     at = 0
     while at < len(start):
         upto = max(at + 1, int(np.searchsorted(start, start[at] + SLICE_BYTES)))
         hashes[at:upto] = _hash_slice(data, start[at:upto], ends[at:upto], fold, seed)
         at = upto
-    return Words(data, start, ends, np.searchsorted(start, offsets), hashes)
+    return Words(data, start, ends, first, hashes)
 
 
 def beginnings(w: Words, most: int, fold: np.ndarray = AS_IS, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from regstar.llm import decontaminate, embedding_dedup, exact_dedup, near_dedup, pii, quality, resampling, secrets, sentencepieces, substring_dedup, toxicity, warc
+from regstar.llm import (
+    decontaminate, embedding_dedup, exact_dedup, hard_negatives, near_dedup, pii, quality, resampling, secrets, sentencepieces,
+    substring_dedup, toxicity, warc)
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -18,6 +20,7 @@ QUERIES = {
     "op10_minhash_near_dedup": near_dedup.op10_minhash_near_dedup,
     "op11_exact_dedup": exact_dedup.op11_exact_dedup,
     "op12_importance_resampling": resampling.op12_importance_resampling,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLES = {
@@ -26,4 +29,5 @@ ORACLES = {
     "op9_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op11_exact_dedup": exact_dedup.ORACLE_SQL,
     "op12_importance_resampling": resampling.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }

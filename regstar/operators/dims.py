@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from regstar.domain import registrations as R
 from regstar.functions import text as T
 from regstar.operators.dedup import distinct_on
-from regstar.operators.keys import dense_key
+from regstar.operators.keys import KeyRegistry, dense_key
+from regstar.session import materialize
 from regstar.sources.inline import date_sequence, literal_table
 
 
@@ -28,11 +29,17 @@ def with_unknown(dim: DataFrame, unknown_row: dict) -> DataFrame:
 
 def dimension(df: DataFrame, natural: Sequence[str], key_col: str, prefix: str | None = None,
               unknown_row: dict | None = None, attrs: Sequence[str] = (), key_method: str = "range",
-              order: Sequence | None = None) -> DataFrame:
-    """Distinct ``natural`` keys (+ fixed-choice ``attrs``), dense key, unknown member."""
+              order: Sequence | None = None, registry: KeyRegistry | None = None) -> DataFrame:
+    """Distinct ``natural`` keys (+ fixed-choice ``attrs``), dense key, unknown member.
+
+    With a ``registry`` the keys are those it has given out or now gives.
+    """
     cols = list(natural) + list(attrs)
     base = distinct_on(df.select(*cols), natural) if attrs else df.select(*cols).distinct()
-    keyed = dense_key(base, order or list(natural), key_col, prefix=prefix, method=key_method, natural=natural)
+    if registry is not None:
+        keyed = registry.keyed(base, natural, key_col, prefix)
+    else:
+        keyed = dense_key(base, order or list(natural), key_col, prefix=prefix, method=key_method, natural=natural)
     return with_unknown(keyed, unknown_row) if unknown_row is not None else keyed
 
 
@@ -54,13 +61,13 @@ def dim_date(spark: SparkSession, start: str = R.DATE_DIM_START, end: str = R.DA
 
 # --- manufacturer -------------------------------------------------------------
 
-def dim_manufacturer(silver: DataFrame, key_method: str = "range") -> DataFrame:
+def dim_manufacturer(silver: DataFrame, key_method: str = "range", registry: KeyRegistry | None = None) -> DataFrame:
     names = (silver.select(F.col("makerName").alias("MANUFACTURER_NAME"))
              .filter(F.col("MANUFACTURER_NAME").isNotNull()
                      & (F.col("MANUFACTURER_NAME") != R.UNKNOWN_MANUFACTURER)))
     return dimension(names, ["MANUFACTURER_NAME"], "MANUFACTURER_KEY", prefix="M",
                      unknown_row={"MANUFACTURER_NAME": R.UNKNOWN_MANUFACTURER, "MANUFACTURER_KEY": "-1"},
-                     key_method=key_method)
+                     key_method=key_method, registry=registry)
 
 
 # --- vehicle ------------------------------------------------------------------
@@ -93,13 +100,15 @@ UNKNOWN_VEHICLE = {"VEHICLE_KEY": -1, "MODEL_NAME": R.UNKNOWN, "VARIANT": R.UNKN
                    "FUEL": R.UNKNOWN, "COLOUR": R.UNKNOWN, "VEHICLE_CLASS": R.UNKNOWN}
 
 
-def dim_vehicle(silver: DataFrame, key_method: str = "range", null_as_unknown: bool = False) -> DataFrame:
+def dim_vehicle(silver: DataFrame, key_method: str = "range", null_as_unknown: bool = False,
+                registry: KeyRegistry | None = None) -> DataFrame:
     """One row per (model, variant, fuel); colour and class from the smallest such row."""
     norm = vehicle_normalize(silver, null_as_unknown)
     valid = norm.filter(F.col("MODEL_NAME").isNotNull() & F.col("VARIANT").isNotNull()
                         & (F.trim(F.col("MODEL_NAME")) != ""))
     return dimension(valid, ["MODEL_NAME", "VARIANT", "FUEL"], "VEHICLE_KEY",
-                     attrs=["COLOUR", "VEHICLE_CLASS"], unknown_row=UNKNOWN_VEHICLE, key_method=key_method)
+                     attrs=["COLOUR", "VEHICLE_CLASS"], unknown_row=UNKNOWN_VEHICLE, key_method=key_method,
+                     registry=registry)
 
 
 # --- office -------------------------------------------------------------------
@@ -114,12 +123,14 @@ UNKNOWN_OFFICE = {"RTA_ID": R.UNKNOWN, "RTA_OFFICE_CODE": R.UNKNOWN_OFFICE_CODE,
 def dim_office(silver: DataFrame, master: DataFrame | None = None, key_method: str = "range") -> DataFrame:
     """Office codes seen in the data that the master knows; keys R1.. by name.
 
-    The master is a fixed reference table (70 rows), so broadcasting it is
-    bounded; the distinct codes from the data are never broadcast.
+    The distinct codes are stored before the join. The code is a long CASE over
+    the office name, and the optimizer's search for join filters would put it
+    into itself again and again (minutes of planning). The built-in master is a
+    fixed table of 70 rows and broadcast; a master of the caller's is not hinted.
     """
-    master = master if master is not None else office_master(silver.sparkSession)
-    codes = silver.select(F.col("OfficeCd_STD").alias("RTA_CODE")).distinct()
-    known = (codes.join(F.broadcast(master), F.col("RTA_CODE") == F.col("MAP_CODE"), "inner")
+    own = office_master(silver.sparkSession) if master is None else None
+    codes = materialize(silver.select(F.col("OfficeCd_STD").alias("RTA_CODE")).distinct(), "office-codes")
+    known = (codes.join(F.broadcast(own) if own is not None else master, F.col("RTA_CODE") == F.col("MAP_CODE"), "inner")
              .select(F.col("RTA_CODE").alias("RTA_OFFICE_CODE"), F.col("DISTRICT_NAME").alias("RTA_NAME")))
     one_per_name = distinct_on(known, ["RTA_NAME"])
     keyed = dense_key(one_per_name, ["RTA_NAME"], "RTA_ID", prefix="R", method=key_method)

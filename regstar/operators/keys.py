@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regstar.session import materialize
@@ -77,3 +77,49 @@ def dense_key(df: DataFrame, order: Sequence, name: str, prefix: str | None = No
     keyed = tagged.join(F.broadcast(offsets), "_pid")
     return _finish(keyed, name, key, prefix, as_int).drop("_pid", "_mid", "_off")
 
+
+
+class KeyRegistry:
+    """Dense keys that last over loads: an append-only Parquet table under ``path``.
+
+    A load adds the names that no earlier load has, numbered on from the
+    greatest key by the distributed sort of ``dense_key``; nothing stored is
+    rewritten. Each load is a folder ``load=<n>``, so repeating a load rewrites
+    its own names with the same keys. Loads are numbered in order, by one writer.
+    A name may have NULLs.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, load: int):
+        self.spark, self.path, self.load = spark, path.rstrip("/"), load
+
+    def known(self, name: str, schema: str, upto: int) -> DataFrame:
+        """The names of dimension ``name`` that loads up to ``upto`` have given a key."""
+        reader = self.spark.read.schema(schema + ", load int")
+        try:
+            found = reader.parquet(f"{self.path}/{name}")
+        except Exception as e:  # noqa: BLE001 - the first load finds no table
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], schema)
+        return found.filter(F.col("load") <= upto).drop("load")
+
+    def keyed(self, df: DataFrame, natural: Sequence[str], key_col: str, prefix: str | None = None) -> DataFrame:
+        """``df``, of distinct ``natural`` names, with their keys; new names get the next ones."""
+        names = df.select(*natural)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names.schema.fields) + ", _key long"
+        before = self.known(key_col, schema, self.load - 1)
+        columns = [F.col(n).alias(f"_n{i}") for i, n in enumerate(natural)]
+
+        def same(left: DataFrame) -> Column:
+            cond = F.lit(True)
+            for i, n in enumerate(natural):
+                cond = cond & left[n].eqNullSafe(F.col(f"_n{i}"))
+            return cond
+
+        last = before.agg(F.max("_key")).first()[0] or 0
+        new = names.join(before.select(*columns), same(names), "left_anti")
+        numbered = dense_key(new, list(natural), "_key", as_int=False).withColumn("_key", F.col("_key") + last)
+        numbered.write.mode("overwrite").parquet(f"{self.path}/{key_col}/load={self.load}")
+        every = self.known(key_col, schema, self.load).select(*columns, "_key")
+        return _finish(df.join(every, same(df)).drop(*[f"_n{i}" for i in range(len(natural))]).withColumnRenamed("_key", "_number"),
+                       key_col, F.col("_number"), prefix, as_int=True).drop("_number")

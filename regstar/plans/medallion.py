@@ -18,6 +18,7 @@ from regstar.operators import fact as Fa
 from regstar.operators.clean import CleanOptions, clean_registrations, dedup_columns, finish_clean
 from regstar.operators.dedup import keep_latest_by
 from regstar.operators.harmonize import harmonize_columns
+from regstar.operators.keys import KeyRegistry
 from regstar.operators.quality import expect, expect_or_drop
 from regstar.session import materialize
 from regstar.sources.sinks import write_table
@@ -33,6 +34,8 @@ class GoldOptions:
     key_method: str = "range"     # dense keys: "range" (distributed), "plain" (one task), "hash"
     exact_multi: str = "min"       # "min": one vehicle per registration; "all": fan-out
     null_as_unknown: bool = False  # NULL fuel/colour -> UNKNOWN in the vehicle dimension
+    registry_path: str | None = None  # keys of vehicles and manufacturers that last over loads
+    load: int = 0                  # number of this load in that registry
 
 
 def bronze(df: DataFrame) -> DataFrame:
@@ -92,9 +95,10 @@ def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOpti
         silver_df = materialize(silver_df, "silver")
     # Each dimension is stored once: the fact stage reads the vehicle dimension
     # three times (exact tier, unresolved keys, candidates).
-    dim_vehicle = materialize(Dm.dim_vehicle(silver_df, opts.key_method, opts.null_as_unknown), "dim-vehicle")
+    registry = KeyRegistry(spark, opts.registry_path, opts.load) if opts.registry_path else None
+    dim_vehicle = materialize(Dm.dim_vehicle(silver_df, opts.key_method, opts.null_as_unknown, registry), "dim-vehicle")
     dim_office = materialize(Dm.dim_office(silver_df, key_method=opts.key_method), "dim-office")
-    dim_maker = materialize(Dm.dim_manufacturer(silver_df, opts.key_method), "dim-manufacturer")
+    dim_maker = materialize(Dm.dim_manufacturer(silver_df, opts.key_method, registry), "dim-manufacturer")
     return {
         "dim_date": Dm.dim_date(spark),
         "dim_manufacturer": dim_maker,

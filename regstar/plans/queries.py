@@ -22,16 +22,16 @@ from regstar.operators import repair as Rp
 from regstar.operators import resolve as M
 from regstar.operators.dedup import distinct_on, distinct_rows, keep_latest_by
 from regstar.operators.harmonize import harmonize_columns
-from regstar.operators.keys import dense_key
-from regstar.operators.quality import expect_or_drop, expectation_counts
+from regstar.operators.keys import KeyRegistry, dense_key
+from regstar.operators.quality import StreamCounts, expect_on_stream, expect_or_drop, expectation_counts
 from regstar.plans import medallion as Md
 from regstar.plans import oracles as O
 from regstar.session import ensure_checkpoint_dir, materialize, scratch_path
 from regstar.sources.csv_ingest import ingest_csv, write_csv_parts
 from regstar.sources.fixtures import dirty_registrations
 from regstar.sources.tables import read_table
-from regstar.streaming.ingest import ingest_stream, read_bronze
-from regstar.streaming.refresh import read_silver, refresh_stream
+from regstar.streaming.ingest import ingest_known, ingest_stream, read_bronze, read_evolved
+from regstar.streaming.refresh import read_silver, refresh_stream, rewrite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -336,6 +336,19 @@ def q_surrogate_key_customers(spark, sf):
     return dense_key(cust, ["c_mktsegment", "c_name", "c_custkey"], "customer_key", prefix="C")
 
 
+@register("surrogate_key_registry", """WITH a AS (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer WHERE c_custkey % 5 = 1),
+b AS (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer EXCEPT SELECT * FROM a)
+SELECT c_mktsegment, c_nationkey, CAST(row_number() OVER (ORDER BY c_mktsegment NULLS FIRST, c_nationkey NULLS FIRST) AS INTEGER) AS group_key FROM a
+UNION ALL SELECT c_mktsegment, c_nationkey, CAST(row_number() OVER (ORDER BY c_mktsegment NULLS FIRST, c_nationkey NULLS FIRST) +
+  (SELECT count(*) FROM a) AS INTEGER) FROM b""")
+def q_surrogate_key_registry(spark, sf):
+    """Keys of two loads: those of the first stay, new names get the next ones."""
+    cust = read_table(spark, sf, "customer")
+    path, names = scratch_path(spark, "key-registry"), ["c_mktsegment", "c_nationkey"]
+    KeyRegistry(spark, path, 0).keyed(cust.filter("c_custkey % 5 = 1").select(*names).distinct(), names, "group_key")
+    return KeyRegistry(spark, path, 1).keyed(cust.select(*names).distinct(), names, "group_key")
+
+
 # --- dimensions -----------------------------------------------------------------------
 
 @register("dim_date", on_silver("""SELECT full_date, CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) AS DATE_ID,
@@ -406,6 +419,22 @@ def q_match_candidates(spark, sf):
     return M.candidate_pairs(M.unresolved_keys(keys, dk), dk)
 
 
+_PART_KEYS = f"""SELECT DISTINCT concat_ws(' ', {O.sql_normalize('p_brand')}, {O.sql_normalize('p_name')}) AS KEY,
+  substring({O.sql_normalize('p_brand')}, 1, {R.BLOCK_LENGTH}) AS BLOCK"""
+
+
+@register("match_candidates_hot", f"""WITH u AS ({_PART_KEYS} FROM (SELECT p_brand, reverse(substring(reverse(p_name), 2)) AS p_name FROM part)),
+d AS (SELECT KEY AS KEY2, BLOCK AS BLOCK2, CAST(min(p_partkey) AS INTEGER) AS VEHICLE_KEY FROM ({_PART_KEYS}, p_partkey FROM part) GROUP BY 1, 2)
+SELECT u.KEY, d.KEY2, d.VEHICLE_KEY, CAST(levenshtein(u.KEY, d.KEY2) AS INTEGER) AS LEV FROM u JOIN d
+  ON u.BLOCK = d.BLOCK2 AND abs(length(u.KEY) - length(d.KEY2)) <= {R.LEVENSHTEIN_BOUND} WHERE levenshtein(u.KEY, d.KEY2) <= {R.LEVENSHTEIN_BOUND}""")
+def q_match_candidates_hot(spark, sf):
+    """Candidates among parts by brand and name: all brands begin alike, so all keys are one hot block."""
+    p = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_name")
+    cut = p.withColumn("p_name", F.reverse(F.substring(F.reverse("p_name"), 2, 1 << 20)))
+    dk = M.dim_keys(p, "p_partkey", "p_brand", "p_name")
+    return M.candidate_pairs(M.match_keys(cut, "p_brand", "p_name").select("KEY", "BLOCK").distinct(), dk)
+
+
 @register("match_fuzzy", on_silver("SELECT * FROM fuzzy", _MATCH))
 def q_match_fuzzy(spark, sf):
     return M.tier(_resolved(spark, sf), M.FUZZY)
@@ -590,15 +619,88 @@ def q_ingest_stream(spark, sf):
     return read_bronze(spark, out).drop("batch_id")
 
 
+@register("ingest_known", _INGEST_SQL)
+def q_ingest_known(spark, sf):
+    """The three layouts as three CSV streams with known headers, harmonised on the stream, into Spark's Parquet sink."""
+    src = _write_dirty_csv(spark, sf)
+    out = scratch_path(spark, "known-bronze")
+    ingest_known(spark, {f"{src}/layout={i}": ",".join(names) for i, (names, _) in enumerate(_LAYOUTS)}, out, scratch_path(spark, "known-ckpt"))
+    return spark.read.parquet(out)
+
+
+@register("ingest_evolving", f"""WITH {O.r_cte()}, bronze AS ({O.ingest_select('r')})
+SELECT bronze.*, CASE WHEN CAST(slno AS BIGINT) % 3 = 2 THEN slno END AS extra_notes FROM bronze""")
+def q_ingest_evolving(spark, sf):
+    """Three runs of the stream, a layout each; the last brings a column that is kept, NULL in the earlier files."""
+    src = _write_dirty_csv(spark, sf)
+    out, ckpt, schema = (scratch_path(spark, n) for n in ("evolving-bronze", "evolving-ckpt", "evolving-schema"))
+    for i in range(len(_LAYOUTS)):
+        ingest_stream(spark, f"{src}/layout=[0-{i}]", out, ckpt, schema_path=schema)
+    return read_evolved(spark, out, schema).drop("batch_id")
+
+
+#: Fields that a line of the CSV files of ``ingest_malformed`` lacks or has too many, by its serial number.
+_SHORT, _LONG, _FILES = 7, 11, 8
+
+
+def _write_malformed_csv(spark, sf) -> str:
+    """View R as CSV lines in ``_FILES`` files, some lines a field short, some with two too many."""
+    n = c("slno").cast("long")
+    line = F.to_csv(F.struct(*R.GOLDEN_COLUMNS[:-1]))
+    last = F.coalesce(F.to_csv(F.struct(R.GOLDEN_COLUMNS[-1])), F.lit(""))
+    line = F.when(n % _SHORT == 0, line).when(n % _LONG == 0, F.concat(line, F.lit(","), last, F.lit(",x,y"))).otherwise(F.concat(line, F.lit(","), last))
+    lines = _r(spark, sf).select((n % _FILES).alias("file"), F.lit(1).alias("o"), line.alias("value"))
+    heads = spark.range(_FILES).select(c("id").alias("file"), F.lit(0).alias("o"), F.lit(",".join(R.GOLDEN_COLUMNS)).alias("value"))
+    path = scratch_path(spark, "malformed-csv")
+    (heads.unionByName(lines).repartition(_FILES, "file").sortWithinPartitions("file", "o").select("file", "value")
+     .write.partitionBy("file").text(path))
+    return path
+
+
+@register("ingest_malformed", f"""WITH {O.r_cte()} SELECT CAST(slno AS BIGINT) % {_FILES} AS file, count(*) AS n_rows,
+  count(*) FILTER (CAST(slno AS BIGINT) % {_SHORT} = 0 OR CAST(slno AS BIGINT) % {_LONG} = 0) AS n_malformed,
+  count(*) FILTER (CAST(slno AS BIGINT) % {_SHORT} <> 0 AND CAST(slno AS BIGINT) % {_LONG} = 0) AS n_longer,
+  CAST(sum(CAST(slno AS BIGINT)) AS BIGINT) AS sum_slno FROM r GROUP BY 1""")
+def q_ingest_malformed(spark, sf):
+    """Rows and malformed rows per file, from bronze that carries both."""
+    bronze = ingest_csv(spark, _write_malformed_csv(spark, sf), malformed=True)
+    bad = c("_malformed").isNotNull()
+    return bronze.groupBy(F.regexp_extract("_source_file", "file=([0-9]+)", 1).cast("long").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_malformed"),
+        F.count_if(bad & c("_malformed").endswith(",x,y")).alias("n_longer"), F.sum(c("slno").cast("long")).alias("sum_slno"))
+
+
+@register("expect_metrics_stream", ORACLES["expect_metrics"])
+def q_expect_metrics_stream(spark, sf):
+    """The expectation's counts observed in four micro-batches and summed by a listener."""
+    k = _r(spark, sf).select(T.normalize_reg_key(c("tempRegistrationNumber")).alias("tempRegistrationNumber"))
+    src, out, ckpt = (scratch_path(spark, n) for n in ("keys-files", "valid-keys", "valid-ckpt"))
+    k.repartition(4).write.parquet(src)
+    counts = StreamCounts("valid_keys")
+    spark.streams.addListener(counts)
+    try:
+        valid = expect_on_stream(spark.readStream.schema(k.schema).option("maxFilesPerTrigger", "1").parquet(src), Md.SILVER_EXPECTATIONS, "valid_keys")
+        (valid.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start().awaitTermination())
+        total = counts.wait()
+    finally:
+        spark.streams.removeListener(counts)
+    rows, failed = total["rows"], total["failed_valid_registration"]
+    return spark.createDataFrame([(rows, rows - failed, failed)], "rows long, passed_valid_registration long, failed_valid_registration long")
+
+
 @register("silver_incremental", on_silver("SELECT * FROM silver"))
 def q_silver_incremental(spark, sf):
-    """Silver built by the streaming refresh, four micro-batches of bronze files and a compaction; equals the batch build."""
+    """Silver built by the streaming refresh in four micro-batches, its state rewritten after three; equals the batch build."""
     r = _r(spark, sf)
     src = scratch_path(spark, "bronze-files")
-    r.repartition(4).write.parquet(src)
-    state, ckpt = (scratch_path(spark, n) for n in ("silver-state", "silver-ckpt"))
-    refresh_stream(spark, src, r.schema, state, ckpt, max_files_per_trigger=1, compact_every=3)
-    return read_silver(spark, state)
+    r.filter(c("slno").cast("long") % 4 > 0).repartition(3).write.parquet(src)
+    state, later, ckpt = (scratch_path(spark, n) for n in ("silver-state", "silver-state", "silver-ckpt"))
+    refresh_stream(spark, src, r.schema, state, ckpt, max_files_per_trigger=1)
+    rewrite(spark, state, later)
+    r.filter(F.coalesce(c("slno").cast("long") % 4 <= 0, F.lit(True))).coalesce(1).write.mode("append").parquet(src)
+    refresh_stream(spark, src, r.schema, later, ckpt, max_files_per_trigger=1)
+    return read_silver(spark, later)
 
 
 @register("fact_full", f"WITH {O.silver_ctes(O.r_cte() + ', r2 AS (' + O.ingest_select('r') + ')', 'r2')}, "

@@ -1,23 +1,19 @@
 """Incremental silver refresh from a stream of bronze records.
 
 Keep-latest is a maximum per registration key, so it can be taken of parts and
-then of the parts' results. Each micro-batch writes one immutable *delta*: the
-winners among its own rows, with the phase-A columns (key, repaired and parsed
-dates). It reads and rewrites nothing that is stored, so a batch costs what it
-brings. Reading takes keep-latest over the newest base and the deltas after it.
-
-``compact`` folds them into a new base now and then. A base is used only once
-its ``_SUCCESS`` file, which Spark writes last, is there; readers that began
-before go on with the files they listed. Old files stay until ``drop_old``.
-
-A replayed batch overwrites its own delta with the same rows.
+then of the parts' results. Each micro-batch writes the winners among its own
+rows, with the phase-A columns (key, repaired and parsed dates), as one
+``batch_id`` partition of a Parquet table; it reads and rewrites nothing that is
+stored, so a batch costs what it brings. Silver is keep-latest over that table.
+
+A replayed batch overwrites its own partition with the same rows. ``rewrite`` is
+the scheduled job that folds a state table into a new one of a row per key;
+later batches go to the new table.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.operators.clean import CleanOptions, dedup_columns, finish_clean
 from regstar.operators.dedup import keep_latest_by
@@ -25,73 +21,35 @@ from regstar.operators.quality import expect_or_drop
 from regstar.plans import medallion as Md
 
 
-def _parts(spark: SparkSession, state_path: str) -> tuple[int | None, list[int], list[str]]:
-    """(the newest finished base's last batch, the deltas after it, what neither needs any more)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(state_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: dict[str, list[int]] = {"base": [], "delta": []}
-    for status in fs.listStatus(root) if fs.exists(root) else []:
-        m = re.fullmatch(r"(base|delta)=(\d+)", status.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found[m[1]].append(int(m[2]))
-    base = max(found["base"], default=None)
-    last = -1 if base is None else base
-    old = [f"base={b}" for b in found["base"] if b != base] + [f"delta={d}" for d in found["delta"] if d <= last]
-    return base, sorted(d for d in found["delta"] if d > last), old
-
-
 def merge_batch(batch: DataFrame, batch_id: int, state_path: str, opts: CleanOptions = CleanOptions()) -> None:
-    """Store the winners of one batch of bronze rows as its delta."""
+    """Store the winners of one batch of bronze rows."""
     latest = keep_latest_by(dedup_columns(batch, opts), [Md.REG_KEY], Md.latest_order())
-    latest.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/delta={batch_id}")
+    latest.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/batch_id={batch_id}")
 
 
-def read_state(spark: SparkSession, state_path: str) -> DataFrame | None:
-    """The latest row per key over the base and the deltas after it; None before the first batch."""
-    base, deltas, _ = _parts(spark, state_path)
-    names = ([] if base is None else [f"base={base}"]) + [f"delta={d}" for d in deltas]
-    if not names:
-        return None
-    rows = spark.read.parquet(*[f"{state_path.rstrip('/')}/{n}" for n in names])
-    return rows if base is not None and not deltas else keep_latest_by(rows, [Md.REG_KEY], Md.latest_order())
+def read_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """The latest row per key over all batches stored."""
+    return keep_latest_by(spark.read.parquet(state_path).drop("batch_id"), [Md.REG_KEY], Md.latest_order())
 
 
-def read_silver(spark: SparkSession, state_path: str, opts: CleanOptions = CleanOptions()) -> DataFrame | None:
+def read_silver(spark: SparkSession, state_path: str, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """Silver as the rows stored so far give it."""
-    state = read_state(spark, state_path)
-    return None if state is None else finish_clean(expect_or_drop(state, Md.SILVER_EXPECTATIONS), opts)
+    return finish_clean(expect_or_drop(read_state(spark, state_path), Md.SILVER_EXPECTATIONS), opts)
 
 
-def compact(spark: SparkSession, state_path: str) -> None:
-    """Fold the base and the deltas into a new base; nothing to do without deltas."""
-    _, deltas, _ = _parts(spark, state_path)
-    if deltas:
-        read_state(spark, state_path).write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/base={deltas[-1]}")
-
-
-def drop_old(spark: SparkSession, state_path: str) -> None:
-    """Delete what the newest base replaces; when no reader uses it any more."""
-    jvm = spark.sparkContext._jvm
-    for name in _parts(spark, state_path)[2]:
-        path = jvm.org.apache.hadoop.fs.Path(f"{state_path.rstrip('/')}/{name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def rewrite(spark: SparkSession, state_path: str, new_path: str) -> None:
+    """Fold the state into ``new_path``, under the number of its last batch."""
+    last = spark.read.parquet(state_path).agg(F.max("batch_id")).first()[0]
+    read_state(spark, state_path).write.mode("overwrite").parquet(f"{new_path.rstrip('/')}/batch_id={last}")
 
 
 def refresh_stream(spark: SparkSession, source: str, schema, state_path: str, checkpoint: str,
-                   max_files_per_trigger: int | None = None, compact_every: int = 50, fmt: str = "parquet"):
+                   max_files_per_trigger: int | None = None, fmt: str = "parquet"):
     """Run the refresh over new files in ``source`` (availableNow); returns the finished query."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(source)
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, state_path)
-        if (batch_id + 1) % compact_every == 0:
-            compact(batch.sparkSession, state_path)
-
-    query = (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+    query = (reader.load(source).writeStream.foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, state_path))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query

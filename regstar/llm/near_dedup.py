@@ -1,19 +1,24 @@
 """Near duplicates by improved consistent weighted sampling (ICWS).
 
 1. Every document's words (lower-cased letters and digits) give shingles of
-   ``SHINGLE`` words. Document frequencies are counted over all documents for
-   each shingle; a shingle weighs its count in the document times its inverse
-   frequency. Those of several documents are joined back to their documents.
-2. Documents with one text are one class from the start, and one of them goes on.
-3. ``BANDS * ROWS`` consistent weighted samples are drawn per document; two
+   ``SHINGLE`` words. Texts are stored in *packs* of some MB. A pack ships each of
+   its distinct shingles once, with the number of its documents that have it, to
+   the shingle's bucket; a bucket counts over all packs and gives each pack back
+   the document frequencies of the shingles that several documents have. All
+   other shingles have one document, so every frequency is exact.
+2. A shingle weighs its count in the document times its inverse frequency. A
+   document whose shared shingles have less than ``THRESHOLD`` of its weight is
+   near nothing and goes no further: no similarity can exceed that share.
+3. Documents with one text are one class from the start, and one of them goes on.
+4. ``BANDS * ROWS`` consistent weighted samples are drawn per document; two
    documents agree in a sample with the probability of their weighted Jaccard
    similarity. Documents with equal samples in a band share a bucket.
-4. In each bucket the members are compared with a pivot (the smallest id, then
+5. In each bucket the members are compared with a pivot (the smallest id, then
    two drawn by a hash), never with each other, and links of at least
    ``THRESHOLD`` are kept. Buckets whose members are then one component are
    done. In the others the members of different components are compared in
    blocks, of which only the links come out; so no candidate is left unseen.
-5. Classes are the connected components of the links.
+6. Classes are the connected components of the links.
 
 A pair of similarity 0.8 shares a bucket with probability 0.9998 (one of 12
 bands of 3 samples).
@@ -21,24 +26,25 @@ bands of 3 samples).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regstar.llm import wordhash as wh
-from regstar.llm.common import ship, small_side, stage, text_of
+from regstar.llm.common import ship, stage, text_of
 from regstar.llm.components import components
+from regstar.session import scratch_path
 from regstar.sources.tables import read_table
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 3
-#: Shingles that a task counts before it hands the counts on.
-COUNTED_AT_ONCE = 1 << 20
-#: A shingle of one in so many documents is joined by broadcast, if they are few enough.
-FREQUENT = 1000
+#: Bytes of text in a pack, and for each bucket that shingles are counted in.
+PACK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
 #: Pivots that a bucket's members are compared with before the blocked comparison.
 PIVOTS = 3
 #: Members of a bucket that one task compares with as many others.
@@ -65,53 +71,18 @@ def _shingles(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[at], h[at], np.diff(np.append(at, len(h)))
 
 
-def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts, size = [], 0
-
-    def out() -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(n.astype(np.int64))})
-
-    for big in batches:
-        for b in wh.slices(big, 0):
-            h = _shingles(b.column(0))[1]
-            parts, size = [*parts, h], size + len(h)
-            if size >= COUNTED_AT_ONCE:
-                yield out()
-                parts, size = [], 0
-    if size:
-        yield out()
-
-
 def _inverse(n: np.ndarray, documents: int) -> np.ndarray:
     """(1 + ln((documents + 1) / (n + 1)) / ln(documents + 2)) / 2 for shingles of n documents.
 
-    From 1 for a shingle of one document down to 1/2 for one that all have: a
-    passage weighs less the more documents share it, but the members of a large
-    group of near copies still find each other by what they share.
+    From 1 for a shingle of one document down to 1/2 for one that all have, where
+    plain inverse frequencies go down to 0: a passage weighs less the more
+    documents share it, but the members of a large group of near copies still find
+    each other by what they share. The price is contrast: a very common passage
+    counts half, so two documents may be near by it alone if it is most of both.
     """
     return (0.5 + 0.5 * np.log((documents + 1.0) / (n + 1.0)) / np.log(documents + 2.0)).astype(np.float32)
 
 
-class Frequencies:
-    """Document frequencies of a corpus: a table (h, n) of the shingles of several documents; the others have one."""
-
-    def __init__(self, shared: DataFrame, documents: int):
-        self.shared, self.documents = shared, documents
-
-    def of(self, first: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """Inverse frequencies of shingles. Collects the table, so for small corpora only."""
-        rows = self.shared.toPandas()
-        known = rows["h"].to_numpy().view(np.uint64)
-        order = np.argsort(known)
-        known, count = known[order], rows["n"].to_numpy()[order]
-        n = np.ones(len(h))
-        if len(known):
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            n = np.where(known[at] == h, count[at], 1)
-        return _inverse(n, self.documents)
-
-
 class Given:
     """Document frequencies that came with each text: a list of (h, n) of its shingles of several documents."""
 
@@ -135,29 +106,92 @@ class Given:
         return _inverse(n, self.documents)
 
 
-def inverse_frequencies(texts: DataFrame) -> Frequencies:
-    """The frequencies of every shingle over all documents."""
-    counts = texts.select("t").mapInArrow(_count_shingles, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return Frequencies(stage(counts.filter("n >= 2"), "shared-shingles"), texts.count())
+PACK = pa.schema([("pack", pa.int64()), ("bytes", pa.int64()), ("rows", pa.int64()), ("blob", pa.binary())])
+PACKS = "pack long, bytes long, rows long, blob binary"
+
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, t) as compressed packs of about PACK_BYTES."""
+    number, parts, size = TaskContext.get().partitionId() << 32, [], 0
+
+    def out() -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(table.combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
+            (number, size, len(table), sink.getvalue().to_pybytes()), PACK, strict=True)], schema=PACK)
 
-def _document_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for big in batches:
-        for b in wh.slices(big, 1, 1 << 20):
-            doc, h, _ = _shingles(b.column(1))
-            yield pa.RecordBatch.from_pydict({"doc": pa.array(b.column(0).to_numpy()[doc]), "h": pa.array(h.view(np.int64))})
+        for b in wh.slices(big, 1):
+            parts.append(b)
+            size += pc.sum(pc.binary_length(b.column(1))).as_py() or 0
+            if size >= PACK_BYTES:
+                yield out()
+                number, parts, size = number + 1, [], 0
+    if parts:
+        yield out()
 
 
-def with_frequencies(texts: DataFrame, idf: Frequencies) -> DataFrame:
-    """texts (doc, t) with ``shared``: (h, n) of the shingles that several documents have.
+def _unpack(blob: bytes) -> Iterator[pa.RecordBatch]:
+    for b in pa.ipc.open_stream(pa.py_buffer(blob)):
+        yield from wh.slices(b, 1)
 
-    The most frequent ones are joined by broadcast and then carry a key of their own.
-    """
-    frequent = small_side(stage(idf.shared.filter(F.col("n") * FREQUENT >= idf.documents).select("h", F.col("n").alias("often")), "frequent-shingles"))
-    each = texts.select("doc", "t").mapInArrow(_document_shingles, "doc long, h long").join(frequent, "h", "left")
-    each = each.withColumn("key", F.when(F.col("often").isNull(), F.col("h")).otherwise(F.xxhash64("doc", "h")))
-    known = each.join(idf.shared.select(F.col("h").alias("key"), "n"), "key", "left").withColumn("n", F.coalesce("often", "n")).filter("n is not null")
-    return texts.join(known.groupBy("doc").agg(F.collect_set(F.struct("h", "n")).alias("shared")), "doc", "left").select("doc", "t", "shared")
+
+def _squeeze(x: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes: those of high bytes, mostly zero, take no room."""
+    return pa.compress(np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _spread(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).reshape(-1)
+
+
+def _pack_shingles(blob: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles, documents of the pack that have each, where each bucket begins): sorted by bucket, then shingle."""
+    h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *[_shingles(b.column(1))[1] for b in _unpack(blob)]]), return_counts=True)
+    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return h[order], n[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+SHIPPED = pa.schema([("bucket", pa.int64()), ("pack", pa.int64()), ("size", pa.int64()), ("h", pa.binary()), ("n", pa.binary())])
+
+
+def _ship_shingles(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for pack, blob in zip(big.column(0).to_pylist(), big.column(1), strict=True):
+                h, n, first = _pack_shingles(blob.as_py(), buckets)
+                rows = [(k, pack, int(b - a), _squeeze(np.diff(h[a:b], prepend=np.uint64(0))), _squeeze(n[a:b]))
+                        for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)) if a < b]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SHIPPED, strict=True)], schema=SHIPPED)
+
+    return run
+
+
+RETURNED = pa.schema([("pack", pa.int64()), ("bucket", pa.int64()), ("size", pa.int64()), ("at", pa.binary()), ("n", pa.binary())])
+
+
+def _count_bucket(table: pa.Table) -> pa.Table:
+    """Adds up a bucket's shingles over all packs: per pack the places of those of several documents, and their numbers."""
+    packs, sizes = table["pack"].to_pylist(), table["size"].to_pylist()
+    h = np.concatenate([np.cumsum(_spread(x, k), dtype=np.uint64) for x, k in zip(table["h"].to_pylist(), sizes, strict=True)])
+    n = np.concatenate([_spread(x, k) for x, k in zip(table["n"].to_pylist(), sizes, strict=True)])
+    order = np.argsort(h, kind="stable")
+    begin = np.flatnonzero(np.append(True, h[order[1:]] != h[order[:-1]]))
+    total = np.empty_like(n)
+    total[order] = np.repeat(np.add.reduceat(n[order], begin), np.diff(np.append(begin, len(h))))
+    rows, upto = [], np.cumsum([0, *sizes])
+    for k, pack in enumerate(packs):
+        own = total[upto[k]:upto[k + 1]]
+        at = np.flatnonzero(own > 1)
+        if len(at):
+            rows.append((pack, table["bucket"][0].as_py(), len(at), _squeeze(np.diff(at, prepend=0)), _squeeze(own[at])))
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), RETURNED, strict=True)], schema=RETURNED) \
+        if rows else RETURNED.empty_table()
 
 
 class Sampler:
@@ -199,32 +233,81 @@ class Sampler:
         return wh.mix(out + np.arange(BANDS, dtype=np.uint64)[None])
 
 
-def _sign(documents: int):
-    schema = pa.schema([("doc", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("doc", pa.int64()), ("t", pa.string()), ("shared", pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))), ("bands", pa.list_(pa.int64()))])
+SIGNEDS = "doc long, t string, shared array<struct<h:long,n:long>>, bands array<long>"
+
 
+def _sign(documents: int, buckets: int):
+    """Packs (blob, found) to the documents that may be near others: text, shared shingles and bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
         for big in batches:
-            for b in wh.slices(big, 1, 1 << 18):  # small enough to stay in a core's cache
-                doc, h, n = _shingles(b.column(1))
-                if not len(doc):
-                    continue
-                first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-                every = np.searchsorted(doc, np.arange(len(b) + 1))
-                weight = n * Given(b.column(2), documents).of(every, h)
-                bands = sampler.bands(h, weight, np.append(first, len(doc)))
-                ids = b.column(0).to_numpy()[doc[first]]
-                flat = pa.array(bands.reshape(-1).view(np.int64))
-                lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32), flat)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), lists], schema=schema)
+            for blob, found in zip(big.column(0), big.column(1), strict=True):
+                if not found.is_valid:
+                    continue  # no shingle of the pack is shared
+                blob = blob.as_py()
+                h, _, begin = _pack_shingles(blob, buckets)
+                at, n = [], []
+                for f in found.as_py():
+                    at.append(np.cumsum(_spread(f["at"], f["size"])).astype(np.int64) + begin[f["bucket"]])
+                    n.append(_spread(f["n"], f["size"]).astype(np.int64))
+                at, n = np.concatenate(at), np.concatenate(n)
+                order = np.argsort(h[at])
+                known, count = h[at][order], n[order]
+                for piece in _unpack(blob):
+                    for b in wh.slices(piece, 1, 1 << 18):  # small enough to stay in a core's cache
+                        yield from _sign_slice(b, known, count, documents, sampler)
 
     return run
 
 
+def _sign_slice(b: pa.RecordBatch, known: np.ndarray, count: np.ndarray, documents: int, sampler: Sampler) -> Iterator[pa.RecordBatch]:
+    doc, h, n = _shingles(b.column(1))
+    if not len(doc):
+        return
+    place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    shared = known[place] == h
+    df = np.where(shared, count[place], 1)
+    weight = n * _inverse(df, documents)
+    every = np.bincount(doc, weight, len(b))
+    some = np.bincount(doc, weight * shared, len(b)) >= (THRESHOLD - 1e-6) * every
+    some &= (every > 0) & b.column(0).is_valid().to_numpy(zero_copy_only=False)
+    if not some.any():
+        return
+    own = some[doc]
+    doc, h, weight, shared, df = doc[own], h[own], weight[own], shared[own], df[own]
+    kept = np.flatnonzero(some)
+    bands = sampler.bands(h, weight, np.append(np.searchsorted(doc, kept), len(doc)))
+    flat = pa.array(bands.reshape(-1).view(np.int64))
+    lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32), flat)
+    pairs = pa.StructArray.from_arrays([pa.array(h[shared].view(np.int64)), pa.array(df[shared].astype(np.int64))], names=["h", "n"])
+    first = np.searchsorted(doc[shared], kept)
+    known_lists = pa.ListArray.from_arrays(np.append(first, len(pairs)).astype(np.int32), pairs)
+    rows = pa.array(kept)
+    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), known_lists, lists], schema=SIGNED)
+
+
+def sign_documents(base: DataFrame) -> tuple[DataFrame, int]:
+    """(doc, t, shared, bands) of the rows (doc, t) that may be near others, and the number of rows."""
+    spark = base.sparkSession
+    packs = scratch_path(spark, "packs")
+    base.select("doc", "t").mapInArrow(_pack, PACKS).write.option("compression", "uncompressed").parquet(packs)
+    packs = spark.read.schema(PACKS).parquet(packs)
+    size = packs.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    buckets = max(1, math.ceil(size.bytes / BUCKET_BYTES))
+    shipped = packs.select("pack", "blob").mapInArrow(_ship_shingles(buckets), "bucket long, pack long, size long, h binary, n binary")
+    found = stage(shipped.groupBy("bucket").applyInArrow(_count_bucket, "pack long, bucket long, size long, at binary, n binary"), "frequencies")
+    per_pack = found.groupBy("pack").agg(F.collect_list(F.struct("bucket", "size", "at", "n")).alias("found"))
+    signed = packs.select("pack", "blob").join(per_pack, "pack").select("blob", "found").mapInArrow(_sign(size.rows, buckets), SIGNEDS)
+    path = scratch_path(spark, "signed")
+    signed.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(SIGNEDS).parquet(path), size.rows
+
+
 class Weighted:
     """Texts as weighted shingles, for exact similarities."""
 
-    def __init__(self, texts: pa.Array, idf: Frequencies | Given):
+    def __init__(self, texts: pa.Array, idf: Given):
         self.doc, self.h, n = _shingles(texts)
         self.first = np.searchsorted(self.doc, np.arange(len(texts) + 1))
         self.weight = (n * idf.of(self.first, self.h)).astype(np.float64)
@@ -284,15 +367,14 @@ def _labelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
     return m.join(open_.filter("lo <> hi").select("bucket", "n"), "bucket")
 
 
-def find_links(texts: DataFrame, documents: int) -> DataFrame:
-    """Links (u, v) between documents (doc, t, shared) of different texts, enough to join each component."""
-    spark = texts.sparkSession
-    signed = texts.select("doc", "t", "shared").mapInArrow(_sign(documents), "doc long, bands array<long>")
+def find_links(signed: DataFrame, documents: int) -> DataFrame:
+    """Links (u, v) between documents (doc, t, shared, bands) of different texts, enough to join each component."""
+    spark = signed.sparkSession
     every = stage(signed.select("doc", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "doc"), "bands")
     full = every.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi").select("bucket")
     buckets = stage(every.join(full, "bucket").distinct(), "buckets")
-    active = stage(texts.join(buckets.select("doc").distinct(), "doc", "left_semi"), "candidate-texts")
+    active = stage(signed.select("doc", "t", "shared").join(buckets.select("doc").distinct(), "doc", "left_semi"), "candidate-texts")
     other = active.select(F.col("doc").alias("b"), F.col("t").alias("tb"), F.col("shared").alias("sb"))
 
     def compare(pairs: DataFrame, name: str) -> DataFrame:
@@ -333,16 +415,16 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc"), text_of(text_col).alias("t"))
-    idf = inverse_frequencies(base)
     known = base.filter(F.col("doc").isNotNull())
     marked = known.select("doc", F.xxhash64("t").alias("ta"), F.xxhash64(F.lit(1), F.col("t")).alias("tb"),
                           F.col("t").rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]").alias("worded"))
     marked = stage(marked, "text-hashes")
     firsts = marked.filter("worded").groupBy("ta", "tb").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
-    copies = stage(marked.filter("worded").join(firsts.filter("n > 1"), ["ta", "tb"]).select(F.col("doc").alias("u"), F.col("first").alias("v")), "copies")
-    stands = known.withColumn("ta", F.xxhash64("t")).join(
-        firsts.select(F.col("first").alias("doc"), "ta"), ["doc", "ta"], "left_semi").select("doc", "t")
-    links = find_links(stage(with_frequencies(stands, idf), "weighted-texts"), idf.documents).unionByName(copies)
+    copies = stage(marked.filter("worded").join(firsts.filter("n > 1"), ["ta", "tb"]).select(F.col("doc").alias("u"), F.col("first").alias("v"), "ta"), "copies")
+    signed, documents = sign_documents(base)
+    later = copies.filter("u <> v").select(F.col("u").alias("doc"), "ta")
+    stands = signed.withColumn("ta", F.xxhash64("t")).join(later, ["doc", "ta"], "left_anti").drop("ta")
+    links = find_links(stands, documents).unionByName(copies.drop("ta"))
     comp = components(links)
     ids = marked.select("doc").distinct()
     return ids.join(comp.withColumnRenamed("node", "doc"), "doc", "left").select(

@@ -90,14 +90,11 @@ def test_op7_ranks_held_out_documents(spark):
 def test_op10_equals_all_pairs(spark):
     import pyarrow as pa
 
-    from regstar.llm.near_dedup import THRESHOLD, Weighted, inverse_frequencies
+    from test_near_dedup import similar_pairs
 
-    docs = read_table(spark, SF_SMALL, "documents")
-    idf = inverse_frequencies(docs.selectExpr("text AS t"))
-    d = docs.select("doc_id", "text").toPandas()
-    w = Weighted(pa.array(d.text), idf)
+    d = read_table(spark, SF_SMALL, "documents").select("doc_id", "text").toPandas()
     ids = d.doc_id.tolist()
-    links = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if w.similarity(i, j) >= THRESHOLD]
+    links = [(ids[i], ids[j]) for i, j in similar_pairs(d.text.tolist())]
     want = classes(ids, links)
     got = {r.doc_id: (r.class_id, r.kept) for r in QUERIES["op10_minhash_near_dedup"](spark, SF_SMALL).collect()}
     assert got == {i: (c, c == i) for i, c in want.items()}

@@ -45,15 +45,16 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
-#: Further formats, as their issuers publish them.
+#: Further formats, as their issuers publish them. A pattern that begins with a run
+#: starts at the run's beginning only, so a long run is read once, not from each place in it.
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]+", 0, 24),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
     Rule("pem", r"-----BEGIN (RSA |EC |DSA |OPENSSH )?PRIVATE KEY-----"),
-    Rule("url_login", r"[a-z]+://[A-Za-z0-9._~-]+:[^\s/:@]+@[A-Za-z0-9]", 0, 12),
+    Rule("url_login", r"(?<![a-z])[a-z]+://[A-Za-z0-9._~-]+:[^\s/:@]+@[A-Za-z0-9]", 0, 12),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -185,7 +186,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     """Each row as ``row`` with ``spans``: (start, rank, kind, end) in order, in code points, end exclusive.
 
     NULL texts count as empty and have no spans; repeated rows get equal
-    results; extra columns of any name are carried in ``row``.
+    results, also rows without id; an empty table has no rows; extra columns of
+    any name are carried in ``row``.
     """
     narrow = docs.select(text_of(text_col).alias("t"), row_key(F.col(id_col), F.col(text_col)).alias("key"))
     index = stage(postings(narrow, rules), "trigram-index")

@@ -275,7 +275,7 @@ def encode_texts(docs: DataFrame, model: str | None = None, text_col: str = "tex
 
     ``ids`` and ``decoded`` are NULL unless asked for. NULL texts count as empty
     and have no ids. Repeated rows get equal results; extra columns of any name
-    are carried in ``row``. ``model`` is a file that each executor can read.
+    are carried in ``row``; an empty table has no rows. ``model`` is a file that each executor can read.
     """
     ship(docs.sparkSession)
     if model is None:
@@ -311,7 +311,6 @@ def encode_texts(docs: DataFrame, model: str | None = None, text_col: str = "tex
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contract's row per document."""
+    """The contract's row per document, and ``n_differ``: parts whose ids the library has otherwise (its ids are then taken)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.select("doc_id", F.col("text"))
-    return encode_texts(ids).select("row.doc_id", "tokens.n_tokens", "tokens.ids_sha256", "tokens.decoded_sha256")
+    return encode_texts(docs).select("row.doc_id", "tokens.n_tokens", "tokens.ids_sha256", "tokens.decoded_sha256", "tokens.n_differ")

@@ -67,7 +67,7 @@ def test_op2_equals_the_library(spark):
         ids = sp.encode(d.text)
         r = got[d.doc_id]
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-        assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest() and r.n_differ == 0
 
 
 def test_op4_finds_held_out_toxic_documents(spark):

@@ -29,7 +29,7 @@ def plain(text, rules):
 def some_texts(n):
     rng = random.Random(3)
     texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 25))) for _ in range(n)]
-    return [None, "", "password=" + "a" * 12, "token=password: abcdefghijklmnop", "x" * 50_000 + " secret: " + "b" * 40, *texts, *texts[:5]]
+    return [None, "", "password=" + "a" * 12, "token=password: abcdefghijklmnop", "x" * 50_000 + " secret: " + "b" * 40, "zhttps://u:pp@host://v:qq@h", *texts, *texts[:5]]
 
 
 def test_spans_equal_a_plain_search(spark):
@@ -73,3 +73,26 @@ def test_redaction_joins_overlapping_spans(spark):
     docs = spark.createDataFrame([(1, text, 7)], "doc_id long, text string, n_chars long")
     r = redact(find_secrets(docs)).first()
     assert r.text == "ä [SECRET]; [SECRET] ü" and r.n_chars == len(r.text)
+
+
+def test_long_texts_take_seconds(spark):
+    """1 MB of one run before each thing that a pattern looks for."""
+    import time
+
+    long = ["z" * 1_000_000 + " see http://x", "a://" * 250_000, "eyJ" * 330_000 + ".eyJ ", "secret" * 160_000 + " " * 40_000 + ":", "f" * 1_000_000,
+            "http://" + "u" * 1_000_000 + ":", "password" + "\'" * 10 + "=" * 500_000]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r.n for r in find_secrets(docs).selectExpr("row.doc_id", "size(spans) AS n").collect()}
+    assert time.time() - began < 60
+    assert got == {i: len(plain(t, RULES)) for i, t in enumerate(long) if i != 2} | {2: 0}
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame([(None, "secret: " + "k" * 20), (None, "secret: " + "k" * 20), (1, None), (2, "")],
+                                 "doc_id long, text string").selectExpr("*", "1 AS t", "2 AS spans", "3 AS key", "4 AS kinds", "5 AS row")
+    got = sorted((str(r.row.doc_id), len(r.spans)) for r in find_secrets(docs).collect())
+    assert got == [("1", 0), ("2", 0), ("None", 1), ("None", 1)]
+    assert find_secrets(docs.limit(0)).count() == 0
+    clean = redact(find_secrets(docs))
+    assert clean.columns == docs.columns and clean.filter("text = 'secret: [SECRET]' or text like '%[SECRET]%'").count() == 2

@@ -45,6 +45,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 3
 #: Bytes of text in a pack, and for each bucket that shingles are counted in.
 PACK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
+#: Compression of a pack: it is stored once and shuffled once.
+LEVEL = 7
 #: Pivots that a bucket's members are compared with before the blocked comparison.
 PIVOTS = 3
 #: Members of a bucket that one task compares with as many others.
@@ -83,29 +85,6 @@ def _inverse(n: np.ndarray, documents: int) -> np.ndarray:
     return (0.5 + 0.5 * np.log((documents + 1.0) / (n + 1.0)) / np.log(documents + 2.0)).astype(np.float32)
 
 
-class Given:
-    """Document frequencies that came with each text: a list of (h, n) of its shingles of several documents."""
-
-    def __init__(self, lists: pa.Array, documents: int):
-        self.sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        values = lists.flatten()
-        self.h, self.n = values.field(0).to_numpy().view(np.uint64), values.field(1).to_numpy()
-        self.documents = documents
-
-    def of(self, first: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """Inverse frequencies of shingles; text k has first[k] to first[k + 1], in order."""
-        n = np.ones(len(h))
-        upto = np.cumsum(self.sizes)
-        for k in np.flatnonzero(self.sizes):
-            x, count = self.h[upto[k] - self.sizes[k]:upto[k]], self.n[upto[k] - self.sizes[k]:upto[k]]
-            own = h[first[k]:first[k + 1]]
-            at = np.searchsorted(own, x)
-            at[at == len(own)] = 0
-            hit = own[at] == x if len(own) else np.zeros(len(x), bool)
-            n[first[k] + at[hit]] = count[hit]
-        return _inverse(n, self.documents)
-
-
 PACK = pa.schema([("pack", pa.int64()), ("bytes", pa.int64()), ("rows", pa.int64()), ("blob", pa.binary())])
 PACKS = "pack long, bytes long, rows long, blob binary"
 
@@ -117,7 +96,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        codec = pa.Codec("zstd", compression_level=LEVEL)
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as w:
             w.write_table(table.combine_chunks())
         return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
             (number, size, len(table), sink.getvalue().to_pybytes()), PACK, strict=True)], schema=PACK)
@@ -164,6 +144,7 @@ def _ship_shingles(buckets: int):
         for big in batches:
             for pack, blob in zip(big.column(0).to_pylist(), big.column(1), strict=True):
                 h, n, first = _pack_shingles(blob.as_py(), buckets)
+                h //= np.uint64(buckets)  # in a bucket the quotients tell shingles apart, in fewer bits
                 rows = [(k, pack, int(b - a), _squeeze(np.diff(h[a:b], prepend=np.uint64(0))), _squeeze(n[a:b]))
                         for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)) if a < b]
                 if rows:
@@ -233,12 +214,14 @@ class Sampler:
         return wh.mix(out + np.arange(BANDS, dtype=np.uint64)[None])
 
 
-SIGNED = pa.schema([("doc", pa.int64()), ("t", pa.string()), ("shared", pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))), ("bands", pa.list_(pa.int64()))])
-SIGNEDS = "doc long, t string, shared array<struct<h:long,n:long>>, bands array<long>"
+#: A document as it is compared: its compressed text, and the document frequency of each of its shingles in order.
+BODY = pa.struct([("z", pa.binary()), ("bytes", pa.int64()), ("df", pa.binary()), ("n", pa.int64())])
+SIGNED = pa.schema([("doc", pa.int64()), ("ta", pa.int64()), ("body", BODY), ("bands", pa.list_(pa.int64()))])
+SIGNEDS = "doc long, ta long, body struct<z:binary,bytes:long,df:binary,n:long>, bands array<long>"
 
 
 def _sign(documents: int, buckets: int):
-    """Packs (blob, found) to the documents that may be near others: text, shared shingles and bands."""
+    """Packs (blob, found) to the documents that may be near others, with their bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
         for big in batches:
@@ -275,23 +258,25 @@ def _sign_slice(b: pa.RecordBatch, known: np.ndarray, count: np.ndarray, documen
     if not some.any():
         return
     own = some[doc]
-    doc, h, weight, shared, df = doc[own], h[own], weight[own], shared[own], df[own]
+    doc, h, weight, df = doc[own], h[own], weight[own], df[own]
     kept = np.flatnonzero(some)
-    bands = sampler.bands(h, weight, np.append(np.searchsorted(doc, kept), len(doc)))
-    flat = pa.array(bands.reshape(-1).view(np.int64))
+    first = np.append(np.searchsorted(doc, kept), len(doc))
+    flat = pa.array(sampler.bands(h, weight, first).reshape(-1).view(np.int64))
     lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32), flat)
-    pairs = pa.StructArray.from_arrays([pa.array(h[shared].view(np.int64)), pa.array(df[shared].astype(np.int64))], names=["h", "n"])
-    first = np.searchsorted(doc[shared], kept)
-    known_lists = pa.ListArray.from_arrays(np.append(first, len(pairs)).astype(np.int32), pairs)
     rows = pa.array(kept)
-    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), known_lists, lists], schema=SIGNED)
+    bodies = []
+    for text, at, end in zip(b.column(1).take(rows).to_pylist(), first[:-1], first[1:], strict=True):
+        raw = text.encode()
+        bodies.append((pa.compress(raw, codec="zstd", asbytes=True), len(raw), _squeeze(df[at:end]), int(end - at)))
+    body = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*bodies, strict=True), BODY, strict=True)], fields=list(BODY))
+    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(2).take(rows), body, lists], schema=SIGNED)
 
 
 def sign_documents(base: DataFrame) -> tuple[DataFrame, int]:
-    """(doc, t, shared, bands) of the rows (doc, t) that may be near others, and the number of rows."""
+    """(doc, ta, body, bands) of the rows (doc, t) that may be near others, and the number of rows; ``ta`` is a hash of the text."""
     spark = base.sparkSession
     packs = scratch_path(spark, "packs")
-    base.select("doc", "t").mapInArrow(_pack, PACKS).write.option("compression", "uncompressed").parquet(packs)
+    base.select("doc", "t", F.xxhash64("t").alias("ta")).mapInArrow(_pack, PACKS).write.option("compression", "uncompressed").parquet(packs)
     packs = spark.read.schema(PACKS).parquet(packs)
     size = packs.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
     buckets = max(1, math.ceil(size.bytes / BUCKET_BYTES))
@@ -304,13 +289,24 @@ def sign_documents(base: DataFrame) -> tuple[DataFrame, int]:
     return spark.read.schema(SIGNEDS).parquet(path), size.rows
 
 
+def _slices(body: pa.StructArray, most: int = wh.SLICE_BYTES) -> Iterator[slice]:
+    """Parts of an array of bodies with about ``most`` bytes of text; at least a row each."""
+    upto, at = np.cumsum(body.field("bytes").to_numpy()), 0
+    while at < len(body):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right")))
+        yield slice(at, end)
+        at = end
+
+
 class Weighted:
-    """Texts as weighted shingles, for exact similarities."""
+    """Bodies as weighted shingles, for exact similarities."""
 
-    def __init__(self, texts: pa.Array, idf: Given):
-        self.doc, self.h, n = _shingles(texts)
+    def __init__(self, bodies: list[dict], documents: int):
+        texts = pa.array([pa.decompress(x["z"], decompressed_size=x["bytes"], codec="zstd", asbytes=True) for x in bodies], pa.binary())
+        self.doc, self.h, n = _shingles(texts.cast(pa.string()))
         self.first = np.searchsorted(self.doc, np.arange(len(texts) + 1))
-        self.weight = (n * idf.of(self.first, self.h)).astype(np.float64)
+        df = np.concatenate([np.zeros(0, np.uint64), *[_spread(x["df"], x["n"]) for x in bodies]]).astype(np.int64)
+        self.weight = (n * _inverse(df, documents)).astype(np.float64)
         total = np.append(0.0, np.cumsum(self.weight))
         self.total = total[self.first[1:]] - total[self.first[:-1]]
 
@@ -326,17 +322,17 @@ class Weighted:
 
 
 def _verify(documents: int):
-    """Of (a, ta, sa, b, tb, sb) the pairs (a, b) that are similar enough."""
+    """Of (a, body a, b, body b) the pairs (a, b) that are similar enough."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for b in wh.slices(big, 1):
-                a, ta, sa, c, tc, sc = (b.column(i) for i in range(6))
-                x = Weighted(pa.concat_arrays([ta, tc]), Given(pa.concat_arrays([sa, sc]), documents))
-                n = len(a)
+        for b in batches:
+            a, of_a, c, of_c = b.columns
+            for cut in _slices(of_a):
+                n = cut.stop - cut.start
+                x = Weighted(of_a[cut].to_pylist() + of_c[cut].to_pylist(), documents)
                 ok = np.array([x.similarity(i, n + i) >= THRESHOLD for i in range(n)])
-                yield pa.RecordBatch.from_arrays([pa.array(a.to_numpy()[ok]), pa.array(c.to_numpy()[ok])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(a[cut].to_numpy()[ok]), pa.array(c[cut].to_numpy()[ok])], schema=schema)
 
     return run
 
@@ -346,7 +342,7 @@ def _compare_block(documents: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         b = table.combine_chunks().to_batches()[0]
-        x = Weighted(b.column("t"), Given(b.column("shared"), documents))
+        x = Weighted(b.column("body").to_pylist(), documents)
         comp, blk, doc = (b.column(c).to_numpy() for c in ("component", "blk", "doc"))
         out = []
         for p in np.flatnonzero(blk == i):
@@ -368,18 +364,18 @@ def _labelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def find_links(signed: DataFrame, documents: int) -> DataFrame:
-    """Links (u, v) between documents (doc, t, shared, bands) of different texts, enough to join each component."""
+    """Links (u, v) between documents (doc, body, bands) of different texts, enough to join each component."""
     spark = signed.sparkSession
     every = stage(signed.select("doc", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "doc"), "bands")
     full = every.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi").select("bucket")
     buckets = stage(every.join(full, "bucket").distinct(), "buckets")
-    active = stage(signed.select("doc", "t", "shared").join(buckets.select("doc").distinct(), "doc", "left_semi"), "candidate-texts")
-    other = active.select(F.col("doc").alias("b"), F.col("t").alias("tb"), F.col("shared").alias("sb"))
+    active = stage(signed.select("doc", "body").join(buckets.select("doc").distinct(), "doc", "left_semi"), "candidate-texts")
+    other = active.select(F.col("doc").alias("b"), F.col("body").alias("body_b"))
 
     def compare(pairs: DataFrame, name: str) -> DataFrame:
         """Verified ones of the pairs (doc, b)."""
-        both = active.join(pairs, "doc").join(other, "b").select("doc", "t", "shared", "b", "tb", "sb")
+        both = active.join(pairs, "doc").join(other, "b").select("doc", "body", "b", "body_b")
         return stage(both.mapInArrow(_verify(documents), "u long, v long"), name)
 
     links = spark.createDataFrame([], "u long, v long")
@@ -423,7 +419,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     copies = stage(marked.filter("worded").join(firsts.filter("n > 1"), ["ta", "tb"]).select(F.col("doc").alias("u"), F.col("first").alias("v"), "ta"), "copies")
     signed, documents = sign_documents(base)
     later = copies.filter("u <> v").select(F.col("u").alias("doc"), "ta")
-    stands = signed.withColumn("ta", F.xxhash64("t")).join(later, ["doc", "ta"], "left_anti").drop("ta")
+    stands = signed.join(later, ["doc", "ta"], "left_anti").drop("ta")
     links = find_links(stands, documents).unionByName(copies.drop("ta"))
     comp = components(links)
     ids = marked.select("doc").distinct()

@@ -6,7 +6,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from regstar.llm import near_dedup as N
@@ -57,8 +56,9 @@ def test_frequencies_and_weights_are_exact(spark, monkeypatch):
     assert n == 800 and len(rows) == 800
     df = Counter(s for t in texts for s in shingles(t))
     for i in (0, 1, 799):
-        assert sorted(x["n"] for x in rows[i].shared) == sorted(2 * df[s] for s in shingles(texts[i % 400]))
-        x = N.Weighted(pa.array([rows[i].t]), N.Given(pa.array([[y.asDict() for y in rows[i].shared]]), 800))
+        body = rows[i].body
+        assert sorted(N._spread(bytes(body.df), body.n).tolist()) == sorted(2 * df[s] for s in shingles(texts[i % 400]))
+        x = N.Weighted([body.asDict()], 800)
         assert np.isclose(x.total[0], sum(weights(texts * 2)[i].values()), rtol=1e-4)
 
 

@@ -3,8 +3,8 @@
 ``write_archives`` lets Spark's text writer make monolithic archives: each
 task's records, one after the other, in one gzip stream. Such a file has to be
 inflated from its start to reach any record. ``normalise`` inflates each
-stream once, record by record, gives every record its own gzip member and
-keeps a sidecar index of archive, offset and length. ``read_archives`` reads
+stream once, record by record, gives every record its own gzip member, and
+makes a sidecar index of archive, offset and length from what it wrote. ``read_archives`` reads
 normalised archives.
 
 All files are read and written by Spark's own text source, so any file system
@@ -22,7 +22,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from regstar.llm.common import ship, small_side, stage, text_of
 from regstar.session import scratch_path
@@ -131,32 +131,30 @@ def records_of_lines(lines: Iterator[tuple[tuple, bytes]]) -> Iterator[tuple[tup
         raise ValueError(f"{archive} ends inside a record")
 
 
-MEMBER = pa.schema([("archive", pa.int64()), ("source", pa.string()), ("seq", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()),
-                    ("record_id", pa.string()), ("warc_type", pa.string()), ("member", pa.binary())])
-MEMBERS = "archive long, source string, seq long, offset long, length long, record_id string, warc_type string, member binary"
+MEMBER = pa.schema([("archive", pa.int64()), ("seq", pa.int64()), ("member", pa.binary())])
+MEMBERS = "archive long, seq long, member binary"
 #: Bytes of members that are handed to Spark at once.
 BATCH_BYTES = 8 << 20
 
 
-def _members(keep: bool):
-    """The members of inflated streams with their places; without their bytes for the index alone."""
+def _members():
+    """The members of inflated streams, in order."""
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), MEMBER, strict=True)], schema=MEMBER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lines():
             for b in batches:
-                yield from zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(2).to_pylist(), strict=True)
+                yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
 
         rows: list[tuple] = []
-        size, archive, seq, offset = 0, None, 0, 0
+        size, archive, seq = 0, None, 0
         for name, data in records_of_lines(lines()):
             if name != archive:
-                archive, seq, offset = name, 0, 0
+                archive, seq = name, 0
             member = gzip.compress(data, compresslevel=6, mtime=0)
-            r = parse_record(data)
-            rows.append((*archive, seq, offset, len(member), r["record_id"], r["warc_type"], member if keep else None))
-            seq, offset, size = seq + 1, offset + len(member) + len(EMPTY_MEMBER), size + len(member)
+            rows.append((archive, seq, member))
+            seq, size = seq + 1, size + len(member)
             if size >= BATCH_BYTES or len(rows) >= 10_000:
                 yield batch(rows)
                 rows, size = [], 0
@@ -166,50 +164,112 @@ def _members(keep: bool):
     return run
 
 
+PLACE = pa.schema([("archive", pa.int64()), ("block", pa.int64()), ("seq", pa.int64()), ("local", pa.int64()), ("length", pa.int64()),
+                   ("record_id", pa.string()), ("warc_type", pa.string())])
+PLACES = "archive long, block long, seq long, local long, length long, record_id string, warc_type string"
+
+
+def whole_members(pieces: Iterator[tuple[object, bytes]]) -> Iterator[tuple[object, bytes, bytes]]:
+    """(split, member, record) of the pieces between separators: a member may hold a separator's bytes itself."""
+    split, held = None, b""
+    for name, piece in pieces:
+        if name != split and held:
+            raise ValueError("an archive ends inside a member")
+        split, held = name, held + piece
+        d = zlib.decompressobj(31)
+        data = d.decompress(held)
+        if not d.eof:
+            held += EMPTY_MEMBER
+            continue
+        yield split, held, data
+        held = b""
+    if held:
+        raise ValueError("an archive ends inside a member")
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where each member of the written archives is, counted within the split that is read."""
+    def pieces():
+        for b in batches:
+            yield from zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(2).to_pylist(), strict=True)
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PLACE, strict=True)], schema=PLACE)
+
+    rows, split, seq, local = [], None, 0, 0
+    for name, member, data in whole_members(pieces()):
+        if name != split:
+            split, seq, local = name, 0, 0
+        r = parse_record(data)
+        rows.append((*split, seq, local, len(member), r["record_id"], r["warc_type"]))
+        seq, local = seq + 1, local + len(member) + len(EMPTY_MEMBER)
+        if len(rows) >= 10_000:
+            yield batch()
+            rows = []
+    if rows:
+        yield batch()
+
+
+def _written(spark: SparkSession, path: str) -> DataFrame:
+    """The pieces of normalised archives between separators, in order."""
+    return spark.read.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+
+
 def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrites the monolithic archives under ``source`` as ``target/archive=<number>/part-*``.
 
     Returns the sidecar index (archive, source, seq, offset, length, record_id,
     warc_type), which is stored as Parquet in ``target-index``; ``source`` is
     the name of the monolithic file. A gzip stream cannot be split, so a task
-    inflates whole archives, but it holds one record at a time, and the task
-    that inflates an archive also writes it: nothing is shuffled. The bytes of a
-    member depend on its record alone, so the index, made by a pass of its own,
-    agrees with the archives. A broken archive raises.
+    inflates whole archives, once, but it holds one record at a time, and the task
+    that inflates an archive also writes it: nothing is shuffled. The index is
+    made from the archives as they were written: places are counted within each
+    split that is read, and the lengths of the splits before it are added. A
+    broken archive raises.
     """
     ship(spark)
-    lines = spark.read.option("lineSep", "\r\n").text(source).select(
-        F.xxhash64("_metadata.file_name").alias("archive"), F.col("_metadata.file_name").alias("source"), F.col("value").cast("binary").alias("line"))
-    (lines.mapInArrow(_members(True), MEMBERS).select("archive", "seq", F.col("member").cast("string").alias("value"))
+    lines = spark.read.option("lineSep", "\r\n").text(source).select(F.xxhash64("_metadata.file_name").alias("archive"), F.col("value").cast("binary").alias("line"))
+    (lines.mapInArrow(_members(), MEMBERS).select("archive", "seq", F.col("member").cast("string").alias("value"))
      .sortWithinPartitions("archive", "seq").select("archive", "value").write.mode("overwrite").partitionBy("archive")
      .option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(target))
-    lines.mapInArrow(_members(False), MEMBERS).drop("member").write.mode("overwrite").parquet(f"{target}-index")
+    names = spark.read.format("binaryFile").load(source).select(F.element_at(F.split("path", "/"), -1).alias("source"))
+    written = _written(spark, target)
+    if "archive" not in written.columns:  # no archive was written
+        empty = "archive long, source string, seq long, offset long, length long, record_id string, warc_type string"
+        spark.createDataFrame([], empty).write.mode("overwrite").parquet(f"{target}-index")
+        return spark.read.schema(empty).parquet(f"{target}-index")
+    pieces = written.select(F.col("archive").cast("long").alias("archive"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary"))
+    places = stage(pieces.mapInArrow(_places, PLACES), "places")
+    earlier = Window.partitionBy("archive").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = places.groupBy("archive", "block").agg(F.sum(F.col("length") + len(EMPTY_MEMBER)).alias("size"), F.count(F.lit(1)).alias("n")).select(
+        "archive", "block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("seq_before"))
+    (places.join(splits, ["archive", "block"]).join(names.withColumn("archive", F.xxhash64("source")), "archive")
+     .select("archive", "source", (F.col("seq") + F.col("seq_before")).alias("seq"), (F.col("local") + F.col("before")).alias("offset"), "length",
+             "record_id", "warc_type").write.mode("overwrite").parquet(f"{target}-index"))
     return spark.read.parquet(f"{target}-index")
 
 
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = b""
-    for b in batches:
-        out = []
-        for piece in b.column(0).to_pylist():
-            held += piece
-            d = zlib.decompressobj(31)
-            data = d.decompress(held)
-            if not d.eof:  # the separator's bytes stood inside the member
-                held += EMPTY_MEMBER
-                continue
-            out.append(parse_record(data))
-            held = b""
-        yield pa.RecordBatch.from_pylist(out, schema=RECORD)
-    if held:
-        raise ValueError("an archive ends inside a member")
+    for b in _in_batches(parse_record(data) for _, _, data in whole_members((None, p) for b in batches for p in b.column(0).to_pylist())):
+        yield pa.RecordBatch.from_pylist(b, schema=RECORD)
+
+
+def _in_batches(rows: Iterator[dict]) -> Iterator[list[dict]]:
+    out, size = [], 0
+    for r in rows:
+        out.append(r)
+        size += len(r["block"])
+        if size >= BATCH_BYTES or len(out) >= 10_000:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of normalised archives, with the digest and length of the blocks read."""
     ship(spark)
-    members = (spark.read.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
-               .text(path).select(F.col("value").cast("binary").alias("member")))
+    members = _written(spark, path).select(F.col("value").cast("binary").alias("member"))
     found = members.mapInArrow(_read_members, "warc_type string, record_id string, target_uri string, refers_to string,"
                                " declared_digest string, declared_bytes long, block binary")
     return found.withColumns({"block_digest": sha1_base32(F.col("block")), "block_bytes": F.octet_length("block").cast("long")})

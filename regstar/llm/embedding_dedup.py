@@ -30,8 +30,8 @@ THRESHOLD = 0.9
 #: Vectors that the centroids are fitted on, at most, and rounds of fitting.
 SAMPLE, ROUNDS = 20_000, 12
 MOST_CELLS = 1024
-#: Vectors on either side of one block product.
-BLOCK = 4096
+#: Vectors on either side of one block product; rows of it, and pairs, that are looked at together.
+BLOCK, STRIP, PAIRS = 4096, 1024, 1 << 16
 
 
 def fit_centroids(x: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
@@ -77,6 +77,36 @@ def _assign(centroids, reach: float):
     return run
 
 
+class Forest:
+    """Spanning forest of links between rows; rows with one id are one node."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.node = np.unique(ids, return_inverse=True)
+        self.root = np.arange(len(self.ids))
+        self.links: list[tuple[int, int]] = []
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Adds links; in each round every open tree takes one, so few are walked through."""
+        u, v = self.node[a], self.node[b]
+        while True:
+            p, q = self.root[u], self.root[v]
+            still = p != q
+            if not still.any():
+                return
+            u, v, p, q = u[still], v[still], p[still], q[still]
+            for i in np.unique(p, return_index=True)[1].tolist():
+                x, y = int(p[i]), int(q[i])
+                while self.root[x] != x:
+                    x = int(self.root[x])
+                while self.root[y] != y:
+                    y = int(self.root[y])
+                if x != y:
+                    self.root[max(x, y)] = min(x, y)
+                    self.links.append((int(self.ids[u[i]]), int(self.ids[v[i]])))
+            while not np.array_equal(flat := self.root[self.root], self.root):
+                self.root = flat
+
+
 def _compare(threshold: float):
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("n", pa.int64())])
 
@@ -89,31 +119,29 @@ def _compare(threshold: float):
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(a) or not len(b):
             return schema.empty_table()
-        close = x[a] @ x[b].T >= threshold
-        close &= ids[a][:, None] != ids[b][None]
-        probes = t["probes"].to_pylist()
         guests = home[b] != cell
-        for i, row in enumerate(a):  # a pair that two cells see counts in the lower one
-            if close[i].any():
-                seen = np.isin(home[b], [p for p in probes[row] if p < cell])
-                close[i] &= ~(guests & seen)
-        to_a = close @ n[b]
-        to_b = n[a] @ (close & guests[None])
-        parent: dict[int, int] = {}
-
-        def root(i: int) -> int:
-            while parent.setdefault(i, i) != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        links = []
-        for i in np.flatnonzero(close.any(axis=1)):
-            for j in np.flatnonzero(close[i]):
-                p, q = root(int(ids[a[i]])), root(int(ids[b[j]]))
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-                    links.append((int(ids[a[i]]), int(ids[b[j]])))
+        narrow, margin = x.astype(np.float32), (x.shape[1] + 4) * 1.2e-7  # more than single precision is off by
+        to_a, to_b = np.zeros(len(a)), np.zeros(len(b))
+        forest = Forest(ids)
+        probes = t["probes"].combine_chunks()
+        for at in range(0, len(a), STRIP):
+            strip = a[at:at + STRIP]
+            r, c = np.nonzero(narrow[strip] @ narrow[b].T >= threshold - margin)
+            if len(r) > len(strip) * len(b) // 16:
+                cosine = (x[strip] @ x[b].T)[r, c]
+            else:
+                cosine = np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", x[strip[r[k:k + PAIRS]]], x[b[c[k:k + PAIRS]]]) for k in range(0, len(r), PAIRS)]])
+            own = probes.take(pa.array(strip))
+            seen = np.zeros((len(strip), int(home.max()) + 1), dtype=bool)  # a pair that two cells see counts in the lower one
+            of, cells = np.repeat(np.arange(len(strip)), own.value_lengths().to_numpy()), own.flatten().to_numpy()
+            lower = (cells < cell) & (cells < seen.shape[1])
+            seen[of[lower], cells[lower]] = True
+            ok = (cosine >= threshold) & (ids[strip[r]] != ids[b[c]]) & ~(guests[c] & seen[r, home[b[c]]])
+            r, c = r[ok], c[ok]
+            to_a[at:at + STRIP] += np.bincount(r, n[b[c]], len(strip))
+            to_b += np.bincount(c, n[strip[r]] * guests[c], len(b))
+            forest.join(strip[r], b[c])
+        links = forest.links
         sums = [(int(i), None, int(k)) for at, by in ((a, to_a), (b, to_b)) for i, k in zip(ids[at], by, strict=True) if k]
         rows = sums + [(u, v, None) for u, v in links]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],

@@ -3,6 +3,9 @@
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from regstar.llm.pii import KINDS, base_spans, find_pii, luhn
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -69,3 +72,27 @@ def test_terms_of_an_entity_that_stands_once(spark):
     assert got[0].clean == re.sub("Zebulon|Qi", "", got[0].text.replace("zeb@example.org", "[EMAIL]"))
     assert all(got[i].clean == " word1 [PHONE] word2" for i in range(300, 304))
     assert got[1].clean == got[1].text and not got[1].spans
+
+
+def test_usual_rare_words_stay(spark):
+    """Every document has rare words of its own; only a name that follows its entity through other texts gives it away."""
+    rng = random.Random(3)
+    noise = lambda i, n: " ".join([f"word{rng.randrange(60)}" for _ in range(n)] + [f"rare{i}x{k}" for k in range(4)])
+    rows = [(i, f"{noise(i, 20)} Zebulon {noise(-i, 5)} zeb@example.org {noise(1000 + i, 9)}") for i in range(1, 7)]
+    rows += [(7, f"Yolanda {noise(7, 20)} yo@example.org {noise(1007, 9)}")]
+    rows += [(i, f"{noise(i, 20)} {noise(-i, 5)} {noise(1000 + i, 9)}") for i in range(8, 300)]
+    # near copies: their common rare words have one context
+    rows += [(400 + i, f"word{i} quaint old words {rows[20][1]} call +1 (202) 555-0143 now and then") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in find_pii(docs).select("row.doc_id", "row.text", "pii.spans").collect():
+        terms = [r.text[int(s):int(e)] for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "term"]
+        assert terms == ["Zebulon"] * (1 <= r.doc_id <= 6), (r.doc_id, terms)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_few_words_of_documents_with_entities_are_touched(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    words = F.size(F.split("row.text", r"\W+"))
+    terms = F.size(F.filter(F.split("pii.spans", ","), lambda x: x.startswith("term:")))
+    touched, of = find_pii(docs).filter("pii.base <> ''").select(terms.alias("t"), words.alias("w")).agg(F.sum("t"), F.sum("w")).first()
+    assert touched <= 0.05 * of, (touched, of)

@@ -61,13 +61,17 @@ def dim_date(spark: SparkSession, start: str = R.DATE_DIM_START, end: str = R.DA
 
 # --- manufacturer -------------------------------------------------------------
 
+UNKNOWN_MAKER = {"MANUFACTURER_NAME": R.UNKNOWN_MANUFACTURER, "MANUFACTURER_KEY": "-1"}
+
+
+def maker_names(silver: DataFrame) -> DataFrame:
+    names = silver.select(F.col("makerName").alias("MANUFACTURER_NAME"))
+    return names.filter(F.col("MANUFACTURER_NAME").isNotNull() & (F.col("MANUFACTURER_NAME") != R.UNKNOWN_MANUFACTURER))
+
+
 def dim_manufacturer(silver: DataFrame, key_method: str = "range", registry: KeyRegistry | None = None) -> DataFrame:
-    names = (silver.select(F.col("makerName").alias("MANUFACTURER_NAME"))
-             .filter(F.col("MANUFACTURER_NAME").isNotNull()
-                     & (F.col("MANUFACTURER_NAME") != R.UNKNOWN_MANUFACTURER)))
-    return dimension(names, ["MANUFACTURER_NAME"], "MANUFACTURER_KEY", prefix="M",
-                     unknown_row={"MANUFACTURER_NAME": R.UNKNOWN_MANUFACTURER, "MANUFACTURER_KEY": "-1"},
-                     key_method=key_method, registry=registry)
+    return dimension(maker_names(silver), ["MANUFACTURER_NAME"], "MANUFACTURER_KEY", prefix="M",
+                     unknown_row=UNKNOWN_MAKER, key_method=key_method, registry=registry)
 
 
 # --- vehicle ------------------------------------------------------------------
@@ -96,6 +100,15 @@ def vehicle_normalize(silver: DataFrame, null_as_unknown: bool = False) -> DataF
     )
 
 
+VEHICLE_NAME = ["MODEL_NAME", "VARIANT", "FUEL"]
+
+
+def valid_vehicles(silver: DataFrame, null_as_unknown: bool = False) -> DataFrame:
+    """The normal forms that have a model and a variant."""
+    norm = vehicle_normalize(silver, null_as_unknown)
+    return norm.filter(F.col("MODEL_NAME").isNotNull() & F.col("VARIANT").isNotNull() & (F.trim(F.col("MODEL_NAME")) != ""))
+
+
 UNKNOWN_VEHICLE = {"VEHICLE_KEY": -1, "MODEL_NAME": R.UNKNOWN, "VARIANT": R.UNKNOWN,
                    "FUEL": R.UNKNOWN, "COLOUR": R.UNKNOWN, "VEHICLE_CLASS": R.UNKNOWN}
 
@@ -103,10 +116,7 @@ UNKNOWN_VEHICLE = {"VEHICLE_KEY": -1, "MODEL_NAME": R.UNKNOWN, "VARIANT": R.UNKN
 def dim_vehicle(silver: DataFrame, key_method: str = "range", null_as_unknown: bool = False,
                 registry: KeyRegistry | None = None) -> DataFrame:
     """One row per (model, variant, fuel); colour and class from the smallest such row."""
-    norm = vehicle_normalize(silver, null_as_unknown)
-    valid = norm.filter(F.col("MODEL_NAME").isNotNull() & F.col("VARIANT").isNotNull()
-                        & (F.trim(F.col("MODEL_NAME")) != ""))
-    return dimension(valid, ["MODEL_NAME", "VARIANT", "FUEL"], "VEHICLE_KEY",
+    return dimension(valid_vehicles(silver, null_as_unknown), VEHICLE_NAME, "VEHICLE_KEY",
                      attrs=["COLOUR", "VEHICLE_CLASS"], unknown_row=UNKNOWN_VEHICLE, key_method=key_method,
                      registry=registry)
 

@@ -36,6 +36,7 @@ class GoldOptions:
     null_as_unknown: bool = False  # NULL fuel/colour -> UNKNOWN in the vehicle dimension
     registry_path: str | None = None  # keys of vehicles and manufacturers that last over loads
     load: int = 0                  # number of this load in that registry
+    bucketed: tuple[str, int] | None = None  # silver and resolution stored as tables (name, number of buckets)
 
 
 def bronze(df: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def gold(spark: SparkSession, silver_df: DataFrame, opts: GoldOptions = GoldOpti
         "dim_manufacturer": dim_maker,
         "dim_vehicle": dim_vehicle,
         "dim_office": dim_office,
-        "fact": Fa.star_fact(silver_df, dim_vehicle, dim_office, dim_maker, opts.exact_multi),
+        "fact": Fa.star_fact(silver_df, dim_vehicle, dim_office, dim_maker, opts.exact_multi, bucketed=opts.bucketed),
     }
 
 

@@ -20,7 +20,6 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,10 +31,6 @@ SPACE = "\u2581"
 PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Parts that a Python worker remembers; more only cost time.
 REMEMBERED = 600_000
-#: Characters up to which parts are encoded many at a time.
-SHORT = 48
-#: Rank of symbols that don't merge.
-NO_PAIR = 1 << 24
 #: Characters of text that are worked on at once.
 SLICE_CHARS = 4 << 20
 
@@ -67,21 +62,6 @@ class Vocabulary:
         for b, i in enumerate(self.bytes):
             self.raw[i] = bytes([b])
 
-        # Symbols are the pieces' ids and, from n on, characters that are no piece.
-        self.of_letter = np.full(0x110000, -1, dtype=np.int32)
-        self.spelled: dict[int, tuple[int, ...]] = {}
-        for p, i in self.ids.items():
-            if len(p) == 1:
-                self.of_letter[ord(p)] = i
-        inner = sorted({c for p in self.ids for c in p})
-        whole = dict(zip(inner, self.symbol_of(np.array([ord(c) for c in inner], dtype=np.uint32)).tolist(), strict=True)) | self.ids
-        order = {x: r for r, x in enumerate(sorted(set(self.scores.values()), reverse=True))}
-        pairs = {(whole[p[:k]] << 20) | whole[p[k:]]: (order[self.scores[p]], i)
-                 for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in whole and p[k:] in whole}
-        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_rank = np.array([pairs[k][0] for k in self.pair_keys.tolist()], dtype=np.int64)
-        self.pair_symbol = np.array([pairs[k][1] for k in self.pair_keys.tolist()], dtype=np.int64)
-
     def encode(self, part: str) -> list[int]:
         """Ids of one part: the best-scored adjacent pair merges first, ties from the left."""
         symbols = list(part)
@@ -122,78 +102,6 @@ class Vocabulary:
                     out.extend(self.bytes[b] for b in x.encode())
         return out
 
-    def encode_many(self, parts: list[str]) -> list[list[int]]:
-        """``encode`` for many parts at once: in each round every part merges its best pair."""
-        sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        short = np.flatnonzero(sizes <= SHORT)
-        out: list = [None] * len(parts)
-        for k in np.flatnonzero(sizes > SHORT):
-            out[k] = self.encode(parts[k])
-        if not len(short):
-            return out
-        letters = np.frombuffer("".join([parts[k] for k in short.tolist()]).encode("utf-32-le"), dtype=np.uint32)
-        sym = self.symbol_of(letters)
-        owner = np.repeat(np.arange(len(short)), sizes[short])
-        ended_sym, ended_owner = [], []
-        rank, merged = self.pairs_of(sym[:-1], sym[1:])
-        rank = np.append(np.where(owner[:-1] == owner[1:], rank, NO_PAIR), NO_PAIR)
-        merged = np.append(merged, 0)
-        while len(sym):
-            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            best = np.minimum.reduceat((rank << 32) | np.arange(len(sym)), first)
-            going = best < (NO_PAIR << 32)
-            if not going.all():
-                stays = np.repeat(going, np.diff(np.append(first, len(sym))))
-                ended_sym.append(sym[~stays])
-                ended_owner.append(owner[~stays])
-                moved = np.cumsum(stays) - 1
-                at = moved[(best & 0xFFFFFFFF)[going]]
-                sym, owner, rank, merged = sym[stays], owner[stays], rank[stays], merged[stays]
-            else:
-                at = best & 0xFFFFFFFF
-            if not len(sym):
-                break
-            sym[at] = merged[at]
-            keep = np.ones(len(sym), dtype=bool)
-            keep[at + 1] = False
-            at = (np.cumsum(keep) - 1)[at]
-            sym, owner, rank, merged = sym[keep], owner[keep], rank[keep], merged[keep]
-            for i in (at, at[at > 0] - 1):
-                nxt = np.minimum(i + 1, len(sym) - 1)
-                r, m = self.pairs_of(sym[i], sym[nxt])
-                rank[i] = np.where((owner[i] == owner[nxt]) & (nxt > i), r, NO_PAIR)
-                merged[i] = m
-        sym, owner = np.concatenate(ended_sym), np.concatenate(ended_owner)
-        order = np.argsort(owner, kind="stable")
-        sym, owner = sym[order], owner[order]
-        ends = np.searchsorted(owner, np.arange(len(short)), side="right").tolist()
-        n, ids, begin = len(self.raw), sym.tolist(), 0
-        foreign = bool(len(sym)) and int(sym.max()) >= n
-        for k, end in zip(short.tolist(), ends, strict=True):
-            got = ids[begin:end]
-            if foreign and max(got) >= n:
-                got = [i for x in got for i in (self.spelled[x] if x >= n else (x,))]
-            out[k], begin = got, end
-        return out
-
-    def symbol_of(self, letters: np.ndarray) -> np.ndarray:
-        """Symbols of code points; a character that is met for the first time gets one of its own."""
-        got = self.of_letter[letters]
-        if (got < 0).any():
-            for c in np.unique(letters[got < 0]).tolist():
-                i = len(self.raw) + len(self.spelled)
-                self.of_letter[c], self.spelled[i] = i, tuple(self.bytes[b] for b in chr(c).encode())
-            got = self.of_letter[letters]
-        return got.astype(np.int64)
-
-    def pairs_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged symbol of adjacent symbols; ``NO_PAIR`` where they don't merge."""
-        key = (left << 20) | right
-        i = np.searchsorted(self.pair_keys, key)
-        i[i == len(self.pair_keys)] = 0
-        hit = self.pair_keys[i] == key
-        return np.where(hit, self.pair_rank[i], NO_PAIR), self.pair_symbol[i]
-
     def same_bytes(self, encoded: list[list[int]], parts: list[str]) -> bool:
         """Whether each part's ids spell exactly its own bytes."""
         raw = self.raw
@@ -226,7 +134,7 @@ class Encoder:
         bare = [p[1:].replace(SPACE, " ") for p in parts]  # the library adds the dummy prefix itself
         theirs = lib.encode(bare, num_threads=1)
         texts = lib.decode(theirs, num_threads=1)
-        ours = v.encode_many(parts)
+        ours = [v.encode(p) for p in parts]
         if SPACE in parts:  # the library gives no ids for the empty text
             theirs[parts.index(SPACE)] = v.encode(SPACE)
         back = [v.decode(ids) for ids in ours] if not v.same_bytes(ours, parts) else [" " + t for t in bare]

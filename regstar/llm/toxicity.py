@@ -5,9 +5,11 @@ of the text, their beginnings, and the probabilities of the categories before it
 probabilities are out-of-fold in training: a row's earlier probability comes
 from a model that did not see the row, as it will be for new documents.
 
-``labels.toxic`` marks documents; the finer categories are weakly labelled: a
-document marked toxic counts for a category if it has one of the category's seed
-words. The models see every word, and the last link predicts the mark itself.
+``labels.toxic`` marks documents and gives no categories, so these come from the
+data: words that stand in marked rows far more often than in the others are
+grouped by the rows that they share (spherical k-means), and a marked row is of a
+kind if it has a word of that group. Rows may be of several kinds. The models see
+every word, and the last link predicts the mark itself.
 Training runs on the driver over bounded samples, whose rows weigh as many
 labelled rows as they stand for, so the base rates are those of all labels; scoring is one pass over every
 whole text in Arrow batches.
@@ -27,13 +29,12 @@ from regstar.llm.common import ship, text_of
 from regstar.llm.quality import held_out
 from regstar.sources.tables import read_table
 
-#: Seed words of the weakly labelled categories, in chain order.
-SEEDS = {
-    "insult": ("idiot", "moron", "stupid", "loser", "clown", "scum", "fool", "dumb", "imbecile", "jerk"),
-    "degrading": ("trash", "worthless", "pathetic", "disgusting", "garbage", "filth", "vermin", "useless"),
-    "threat": ("kill", "hurt", "murder", "stab", "shoot", "threaten", "destroy"),
-}
-CATEGORIES = (*SEEDS, "toxic")
+#: Groups of telling words, the largest first, and the mark itself.
+KINDS = ("kind_1", "kind_2", "kind_3")
+CATEGORIES = (*KINDS, "toxic")
+#: Words that are grouped at most, and how many standard errors their log odds are from 0 at least.
+TELLING, LEAST_Z = 96, 3.5
+GROUPING_ROUNDS = 20
 THRESHOLD = 0.25
 #: Labelled rows that the chain is fitted on, at most, by label.
 MOST_TOXIC, MOST_OTHER = 5_000, 7_000
@@ -59,11 +60,6 @@ def word_slots(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return pairs >> WORD_BITS, pairs & ((1 << WORD_BITS) - 1)
 
 
-def slot_of(word: str) -> int:
-    w = wh.words_of(pa.array([word]), wh.NOT_ALNUM, wh.LOWER)
-    return int(w.hash[0] >> np.uint64(64 - WORD_BITS))
-
-
 @dataclass
 class Link:
     slots: np.ndarray  # hashed words it looks at
@@ -100,15 +96,53 @@ def _rows_with(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, weight: np.n
     return n, total
 
 
-def fit_link(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, earlier: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Link:
-    """A logistic model from the weighted rows of a mask; words are chosen by their log odds among them."""
+def log_odds_z(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Log odds of each slot between the rows of a mask with and without ``y``, in
+    standard errors; 0 where too few rows have it."""
     weight = weight / weight[rows].mean()
     n1, n0 = weight[rows & y].sum(), weight[rows & ~y].sum()
     with_1, sum_1 = _rows_with(doc, slot, rows & y, weight)
     with_0, sum_0 = _rows_with(doc, slot, rows & ~y, weight)
     odds = np.log((sum_1 + 0.5) / (n1 + 1)) - np.log((sum_0 + 0.5) / (n0 + 1))
-    z = np.abs(odds) / np.sqrt(1 / (with_1 + 0.5) + 1 / (with_0 + 0.5))
+    z = odds / np.sqrt(1 / (with_1 + 0.5) + 1 / (with_0 + 0.5))
     z[with_1 + with_0 < LEAST_ROWS] = 0
+    return z
+
+
+def kinds_of(doc: np.ndarray, slot: np.ndarray, marked: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """(row, kind) marks: the marked rows that have a word of each group of telling words.
+
+    Words that stand in the same marked rows are of one group. Kinds stand in the
+    order of their rows, most first; with fewer words than kinds the last have no rows.
+    """
+    y = np.zeros((len(marked), len(KINDS)), dtype=bool)
+    if not marked.any() or marked.all():
+        return y
+    z = log_odds_z(doc, slot, np.ones(len(marked), bool), marked, weight)
+    words = np.argsort(-z, kind="stable")[:TELLING]
+    words = np.sort(words[z[words] >= LEAST_Z])
+    if not len(words):
+        return y
+    has = _matrix(doc, slot, len(marked), words)
+    at = has[marked].T
+    at = at / np.linalg.norm(at, axis=1, keepdims=True)
+    # the word of most rows begins, then the word least like those chosen
+    chosen = [int(np.argmax(has[marked].sum(axis=0)))]
+    while len(chosen) < min(len(KINDS), len(words)):
+        chosen.append(int(np.argmin((at @ at[chosen].T).max(axis=1))))
+    centres = at[chosen]
+    for _ in range(GROUPING_ROUNDS):
+        group = np.argmax(at @ centres.T, axis=1)
+        sums = np.stack([at[group == k].sum(axis=0) if (group == k).any() else centres[k] for k in range(len(centres))])
+        centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+    for k in range(len(centres)):
+        y[:, k] = marked & (has[:, group == k].sum(axis=1) > 0)
+    return y[:, np.argsort(-y.sum(axis=0), kind="stable")]
+
+
+def fit_link(doc: np.ndarray, slot: np.ndarray, rows: np.ndarray, earlier: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Link:
+    """A logistic model from the weighted rows of a mask; words are chosen by their log odds among them."""
+    z = np.abs(log_odds_z(doc, slot, rows, y, weight))
     slots = np.sort(np.argsort(-z, kind="stable")[:WORDS])
     slots = slots[z[slots] > 0]
     x = np.hstack([_matrix(doc, slot, len(y), slots)[rows], earlier[rows].astype(np.float32), np.ones((int(rows.sum()), 1), np.float32)])
@@ -183,16 +217,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> list[Link]:
     size = np.diff(lists.offsets.to_numpy())
     doc, slot = np.repeat(np.arange(n, dtype=np.int32), size), lists.flatten().to_numpy()
     toxic = t["toxic"].to_numpy() == 1
-    y = np.zeros((n, len(CATEGORIES)), dtype=bool)
-    for k, seeds in enumerate(SEEDS.values()):
-        y[doc[np.isin(slot, [slot_of(s) for s in seeds])], k] = True
-        y[:, k] &= toxic
-    y[:, -1] = toxic
     common = np.bincount(slot, minlength=1 << WORD_BITS)[slot] >= LEAST_ROWS  # the others can't be chosen
     doc, slot = doc[common], slot[common]
     fold = (wh.mix(t["id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
     of_toxic, of_other = (max(1.0, labelled.get(k, 0) / most) for k, most in ((1, MOST_TOXIC), (0, MOST_OTHER)))
-    return fit_chain(doc, slot, y, fold, np.where(toxic, of_toxic, of_other))
+    weight = np.where(toxic, of_toxic, of_other)
+    y = np.hstack([kinds_of(doc, slot, toxic, weight), toxic[:, None]])
+    return fit_chain(doc, slot, y, fold, weight)
 
 
 def score_documents(docs: DataFrame, chain: list[Link], text_col: str = "text") -> DataFrame:
@@ -225,5 +256,5 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     s = score_documents(docs.select("doc_id", "text"), fit(docs, labels))
     return s.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"),
-                    *[F.col(f"p.{c}").alias(f"p_{c}") for c in SEEDS], F.col("p.toxic").alias("score"),
+                    *[F.col(f"p.{c}").alias(f"p_{c}") for c in KINDS], F.col("p.toxic").alias("score"),
                     (F.col("p.toxic") >= THRESHOLD).cast("int").alias("predicted"))

@@ -16,7 +16,7 @@ length, until the asked length is reached or nothing survives.
 
 Counts are aggregates with a partial step and the rest are joins on a hash, so
 a passage that a third of all documents share is one row per task before the
-shuffle, and AQE may split its join. Texts are shuffled only where they have
+shuffle, and its rows are joined without one. Texts are shuffled only where they have
 candidates: their ids are broadcast if they are few (checked), else joined.
 Facts are joined back by document id and checked against the text's own hashes.
 """
@@ -36,6 +36,8 @@ from regstar.sources.tables import read_table
 WINDOW = 50
 #: Windows are halved down to no fewer words than this.
 LEAST_WORDS = 25
+#: Windows of more than one in so many rows are joined without a shuffle.
+HOT = 200
 #: Documents without id stand after all others, in the order of a hash of their text.
 LAST = (1 << 63) - 1
 WORD_END = r"[\x20\x09-\x0D]+"
@@ -179,9 +181,18 @@ def _with(docs: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return (docs.join(F.broadcast(ids), key, "left_semi") if is_small(ids) else docs).join(facts, key)
 
 
-def _least_windows(found: DataFrame, keys: list[str]) -> DataFrame:
-    """The windows that are in more than one document, with the smallest."""
-    return found.groupBy(*keys).agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select(*keys, "lo")
+def _shared(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a staged table whose windows are in more than one document, with the smallest as ``lo``.
+
+    A window of more than one in ``HOT`` rows (counted; fewer than ``HOT`` windows,
+    whatever the data) is joined where its rows lie, so none goes to one task.
+    """
+    least = stage(found.groupBy(*keys).agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n"))
+                  .filter("lo < hi").select(*keys, "lo", "n"), "least")
+    is_hot = F.col("n") * HOT > found.count()
+    hot = least.filter(is_hot).drop("n")
+    cold = found.join(F.broadcast(hot.drop("lo")), keys, "left_anti").join(least.filter(~is_hot).drop("n"), keys)
+    return found.join(F.broadcast(hot), keys).unionByName(cold)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,12 +222,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     found = stage(stands.select("doc", text.alias("t")).mapInArrow(_first_level(n, more[0]), "h long, doc long, at int"), "level")
     keys = ["h"]
     for i, size in enumerate(more):
-        survivors = found.join(_least_windows(found, keys), keys)
-        per_doc = stage(survivors.groupBy("doc").agg(F.collect_list("at").alias("ats")), "survivors")
+        per_doc = stage(_shared(found, keys).groupBy("doc").agg(F.collect_list("at").alias("ats")), "survivors")
         found = stage(_with(stands.select("doc", text.alias("t")), per_doc, "doc").select("doc", "t", "ats")
                       .mapInArrow(_next_level(n, size, i == 0), "h long, check int, doc long, at int"), "level")
         keys, n = ["h", "check"], size
-    covered = found.join(_least_windows(found, keys), keys).filter("lo < doc")
+    covered = _shared(found, keys).filter("lo < doc")
     covered = stage(covered.groupBy("doc").agg(F.collect_list(F.struct("at", "h")).alias("ats")), "covered")
 
     kind = base.schema["row"].dataType.simpleString()

@@ -30,7 +30,7 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "\u2581"
 PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Parts that a Python worker remembers; more only cost time.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 #: Characters of text that are worked on at once.
 SLICE_CHARS = 4 << 20
 

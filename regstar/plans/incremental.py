@@ -24,7 +24,7 @@ from regstar.operators import fact as Fa
 from regstar.operators import resolve as M
 from regstar.operators.keys import KeyRegistry
 from regstar.plans.medallion import REG_KEY, GoldOptions
-from regstar.session import materialize
+from regstar.session import materialize, shuffled
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
@@ -37,8 +37,10 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 def _refreshed(old: DataFrame, rows: DataFrame, touched: DataFrame, natural: list[str], key_col: str, unknown: dict,
                registry: KeyRegistry, prefix: str | None = None, attrs: tuple = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(dimension, its old rows that are touched, their new form); ``rows`` are those of all silver."""
+    touched = shuffled(touched)
     own = old.filter(F.col(key_col).cast("string") != str(unknown[key_col]))
     before = materialize(own.join(touched, _same(own, touched, natural), "left_semi"), "touched-before")
+    rows = rows.distinct()  # the dimension needs no repeats, and a name of many records would fill one task
     still = rows.join(touched, _same(rows, touched, natural), "left_semi")
     after = materialize(Dm.dimension(still, natural, key_col, prefix=prefix, attrs=attrs, registry=registry), "touched-after")
     kept = own.join(touched, _same(own, touched, natural), "left_anti")
@@ -69,7 +71,7 @@ def update_gold(spark: SparkSession, old: dict[str, DataFrame], old_silver: Data
     if not opts.registry_path:
         raise ValueError("gold can only be updated with keys that last: give a registry")
     registry = KeyRegistry(spark, opts.registry_path, opts.load)
-    changed = materialize(changed.select(REG_KEY).filter(F.col(REG_KEY).isNotNull()).distinct(), "changed")
+    changed = shuffled(materialize(changed.select(REG_KEY).filter(F.col(REG_KEY).isNotNull()).distinct(), "changed"))
     records = materialize(old_silver.join(changed, REG_KEY, "left_semi").unionByName(new_silver.join(changed, REG_KEY, "left_semi")), "changed-records")
 
     vehicles = materialize(Dm.valid_vehicles(records, opts.null_as_unknown).select(*Dm.VEHICLE_NAME).distinct(), "touched-vehicles")
@@ -83,7 +85,7 @@ def update_gold(spark: SparkSession, old: dict[str, DataFrame], old_silver: Data
 
     went, came = M.dim_keys(went), M.dim_keys(came)
     moved = materialize(went.exceptAll(came).unionByName(came.exceptAll(went)), "moved-vehicles")
-    touched = materialize(touched_registrations(new_silver, changed, dim_vehicle, moved, offices), "touched-registrations")
+    touched = shuffled(materialize(touched_registrations(new_silver, changed, dim_vehicle, moved, offices), "touched-registrations"))
     rows = Fa.star_fact(new_silver.join(touched, REG_KEY, "left_semi"), dim_vehicle, dim_office, dim_maker, opts.exact_multi)
     kept = old["fact"].join(touched, F.col("TEMP_REGISTRATION_NUMBER") == F.col(REG_KEY), "left_anti")
     return {"dim_date": old["dim_date"], "dim_manufacturer": dim_maker, "dim_vehicle": dim_vehicle, "dim_office": dim_office,

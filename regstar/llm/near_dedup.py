@@ -44,9 +44,13 @@ from regstar.sources.tables import read_table
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 3
 #: Bytes of text in a pack, and for each bucket that shingles are counted in.
-PACK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
+PACK_BYTES, BUCKET_BYTES = 8 << 20, 32 << 20
 #: Compression of a pack: it is stored once and shuffled once.
 LEVEL = 7
+#: Bytes of text whose words are worked on at once: small enough to stay in a core's cache.
+PIECE_BYTES = 1 << 18
+#: Bytes of text on each side of the pairs that are compared at once.
+PAIR_BYTES = 1 << 20
 #: Pivots that a bucket's members are compared with before the blocked comparison.
 PIVOTS = 3
 #: Members of a bucket that one task compares with as many others.
@@ -115,7 +119,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpack(blob: bytes) -> Iterator[pa.RecordBatch]:
     for b in pa.ipc.open_stream(pa.py_buffer(blob)):
-        yield from wh.slices(b, 1)
+        yield from wh.slices(b, 1, PIECE_BYTES)
 
 
 def _squeeze(x: np.ndarray) -> bytes:
@@ -130,8 +134,12 @@ def _spread(data: bytes, n: int) -> np.ndarray:
 
 def _pack_shingles(blob: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shingles, documents of the pack that have each, where each bucket begins): sorted by bucket, then shingle."""
-    h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *[_shingles(b.column(1))[1] for b in _unpack(blob)]]), return_counts=True)
-    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    h = np.concatenate([np.zeros(0, np.uint64), *[_shingles(b.column(1))[1] for b in _unpack(blob)]])
+    h.sort()
+    at = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    h, n = h[at], np.diff(np.append(at, len(h)))
+    del at
+    bucket = (h % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     order = np.argsort(bucket, kind="stable")
     return h[order], n[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
 
@@ -162,9 +170,13 @@ def _count_bucket(table: pa.Table) -> pa.Table:
     h = np.concatenate([np.cumsum(_spread(x, k), dtype=np.uint64) for x, k in zip(table["h"].to_pylist(), sizes, strict=True)])
     n = np.concatenate([_spread(x, k) for x, k in zip(table["n"].to_pylist(), sizes, strict=True)])
     order = np.argsort(h, kind="stable")
-    begin = np.flatnonzero(np.append(True, h[order[1:]] != h[order[:-1]]))
-    total = np.empty_like(n)
-    total[order] = np.repeat(np.add.reduceat(n[order], begin), np.diff(np.append(begin, len(h))))
+    h = h[order]
+    begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    del h
+    sums = np.add.reduceat(n[order], begin)
+    total = n  # its numbers are summed up already
+    total[order] = np.repeat(sums, np.diff(np.append(begin, len(n))))
+    del order, begin, sums
     rows, upto = [], np.cumsum([0, *sizes])
     for k, pack in enumerate(packs):
         own = total[upto[k]:upto[k + 1]]
@@ -237,9 +249,9 @@ def _sign(documents: int, buckets: int):
                 at, n = np.concatenate(at), np.concatenate(n)
                 order = np.argsort(h[at])
                 known, count = h[at][order], n[order]
+                del h, begin, at, n, order
                 for piece in _unpack(blob):
-                    for b in wh.slices(piece, 1, 1 << 18):  # small enough to stay in a core's cache
-                        yield from _sign_slice(b, known, count, documents, sampler)
+                    yield from _sign_slice(piece, known, count, documents, sampler)
 
     return run
 
@@ -289,7 +301,7 @@ def sign_documents(base: DataFrame) -> tuple[DataFrame, int]:
     return spark.read.schema(SIGNEDS).parquet(path), size.rows
 
 
-def _slices(body: pa.StructArray, most: int = wh.SLICE_BYTES) -> Iterator[slice]:
+def _slices(body: pa.StructArray, most: int = PAIR_BYTES) -> Iterator[slice]:
     """Parts of an array of bodies with about ``most`` bytes of text; at least a row each."""
     upto, at = np.cumsum(body.field("bytes").to_numpy()), 0
     while at < len(body):

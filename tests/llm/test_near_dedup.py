@@ -3,9 +3,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from regstar.llm import near_dedup as N
@@ -96,3 +98,23 @@ def test_rows_of_one_id_with_different_texts(spark):
     docs = [(1, text), (2, text), (2, other), (3, other + " end"), (4, "x")]
     got = dict(N.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect())
     assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_a_pack_takes_few_times_its_bytes():
+    rng, words = np.random.default_rng(1), np.array([f"word{k}" for k in range(5000)])
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(1200)]
+    b = pa.record_batch([pa.array(range(1200), pa.int64()), pa.array(texts)], names=["doc", "t"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, b.schema) as w:
+        w.write_batch(b)
+    blob, size = sink.getvalue().to_pybytes(), sum(map(len, texts))
+    tracemalloc.start()
+    try:
+        h, n, first = N._pack_shingles(blob, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12 * size  # 28 times as it was, with words hashed 4 MB at once
+    own, count = np.unique(np.concatenate([N._shingles(pa.array([t]))[1] for t in texts]), return_counts=True)
+    order = np.argsort(own % np.uint64(3), kind="stable")
+    assert (h == own[order]).all() and (n == count[order]).all() and first[-1] == len(h)

@@ -2,6 +2,8 @@
 
 import glob
 
+from pyspark.sql import functions as F
+
 from regstar.operators import resolve as M
 from regstar.operators.keys import KeyRegistry
 from regstar.plans import queries as Q
@@ -79,3 +81,21 @@ def test_malformed_folders_have_several_files(spark):
     assert len(files) == 32
     heads = [open(f).readline().strip() for f in files]
     assert set(heads) == {",".join(Q.R.GOLDEN_COLUMNS)}
+
+
+def test_most_keys_of_unlike_letters_go_no_further(spark):
+    codes = [str(i * 599 + 100000).translate(str.maketrans("0123456789", "abcdefghij")) for i in range(200)]
+    dim = spark.createDataFrame([(m, c + "lxi12", k) for k, (m, c) in enumerate((m, c) for m in ("blueanvil", "bluesturkmoq") for c in codes)],
+                                "MODEL_NAME string, VARIANT string, VEHICLE_KEY int")
+    recs = spark.createDataFrame([("blueanvil", c + "lxi1") for c in codes], "m string, v string")
+    keys, dk = M.match_keys(recs, "m", "v").select("KEY", "BLOCK").distinct(), M.dim_keys(dim)
+    pairs = M._half_pairs(keys, dk, 3)
+    assert pairs.filter("KEY2 LIKE 'bluesturkmoq%'").count() < 150  # 326 have like ends; letters that share a bit let some pass
+    assert ({tuple(r) for r in M.candidate_pairs(keys, dk, hot_block=0).collect()}
+            == {tuple(r) for r in M.candidate_pairs(keys, dk, hot_block=None).collect()})
+
+
+def test_letters_differ_by_two_an_edit(spark):
+    texts = spark.createDataFrame([("abcabc", "abcabc"), ("abcabc", "abcab"), ("aab", "aaab"), ("kitten", "sitting"), ("", "xyz"), ("é𝄞a", "éa")], "a string, b string")
+    far = texts.selectExpr("a", "b", "levenshtein(a, b) AS d").withColumns({"x": M._letters(F.col("a")), "y": M._letters(F.col("b"))})
+    assert far.filter("bit_count(x ^ y) > 2 * d").count() == 0
